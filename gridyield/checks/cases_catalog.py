@@ -28,17 +28,27 @@ def _(d):
     return catalog.best_version(d.source_catalog, ["region", "scenario", "var"], "2020-2050")
 
 
-@case("discover_files", "source_catalog", "region model scenario var path", """
-    select region, model, scenario, var, path from (select *, min(k) over (partition by region, model, scenario, var) as best from (
-      select distinct region, model, scenario, var, path,
-        case when starts_with(path, var || '_3h_bcsd_on_0p1deg_' || region || '_' || model || '_' || scenario || '_') then 0
-             when starts_with(path, var || '_') and instr(substr(path, length(var) + 2), '_' || region || '_' || model || '_' || scenario || '_') > 0 then 1
-             when starts_with(path, var || '_') and instr(substr(path, length(var) + 2), scenario) > 0 then 2 end as k
-      from source_catalog) x where k is not null) y where k = best""")
+RANKED_SQL = f"""select *, case when starts_with(path, var || '_3h_bcsd_on_0p1deg_' || region || '_' || model || '_' || scenario || '_') then 0
+        when starts_with(path, var || '_') and instr(substr(path, length(var) + 2), '_' || region || '_' || model || '_' || scenario || '_') > 0 then 1
+        when starts_with(path, var || '_') and instr(substr(path, length(var) + 2), scenario) > 0 then 2 end as k
+    from ({PERIOD_SQL}) p"""
+FILE_KEYS = ["region", "model", "scenario", "var"]
+
+
+@case("discover_files", "source_catalog", "region model scenario var path", f"""
+    select distinct region, model, scenario, var, path from (
+      select *, min(k) over (partition by region, model, scenario, var) as best from ({RANKED_SQL}) x where k is not null) y where k = best""")
+def _(d):
+    return catalog.match_patterns(d.source_catalog, catalog.COUNTRY_PATTERNS, FILE_KEYS, "path")
+
+
+@case("find_files", "source_catalog", "region model scenario var path", f"""
+    select region, model, scenario, var, path from (select *, row_number() over (partition by region, model, scenario, var order by k,
+        case when y0 <= 2020 and y1 >= 2030 then 0 when y0 is not null then 1 else 2 end,
+        case when y0 <= 2020 and y1 >= 2030 then y1 - y0 else y0 - y1 end nulls first, y0 nulls first, path) as n
+      from ({RANKED_SQL}) x where k is not null) y where n = 1""")
 def _(d):
-    found = catalog.match_patterns(
-        d.source_catalog, catalog.COUNTRY_PATTERNS, ["region", "model", "scenario", "var"], "path")
-    return found.select("region", "model", "scenario", "var", "path").distinct()
+    return catalog.find_files(d.source_catalog, catalog.COUNTRY_PATTERNS, FILE_KEYS, "2020-2030")
 
 
 @case("preferred_cf_file", "cf_catalog", "region scenario technology path", """
@@ -124,10 +134,10 @@ def _(d):
 
 
 @case("pending_outputs", "cf_daily", "energy region #year", """
-    select distinct energy, region, year from cf_daily except select energy, region, year from cf_daily where cf >= 0.9e0""")
+    select distinct energy, region, year from cf_daily except select energy, region, year from cf_daily where cf >= 0.8937e0""")
 def _(d):
     keys = ["energy", "region", "year"]
-    return coverage.pending(d.cf_daily.select(*keys).distinct(), d.cf_daily.where("cf >= 0.9"), keys)
+    return coverage.pending(d.cf_daily.select(*keys).distinct(), d.cf_daily.where("cf >= 0.8937"), keys)
 
 
 @case("concat_years", "cf_daily", "energy region cell t ~cf", """

@@ -16,7 +16,7 @@ LATTICE_SQL = """select region, lat, lon, cf, ord, cast(round_even((90.0e0 - lat
 
 
 def lattice(d):
-    return snapping.require_on_lattice(snapping.add_lattice_index(d.region_cells_raw))
+    return snapping.add_lattice_index(d.region_cells_raw)
 
 
 # --- lattice ------------------------------------------------------------------------------------------------
@@ -137,11 +137,11 @@ def _(d):
 
 
 @case("annual_map_plot_table", "cf_daily", "#lat_idx #lon_idx ~cf",
-      f"select lat_idx, lon_idx, case when cf > 0.2e0 then cf end as cf from ({ANNUAL_MAP}) m")
+      f"select lat_idx, lon_idx, case when cf > 0.2137e0 then cf end as cf from ({ANNUAL_MAP}) m")
 def _(d):
     placed = d.cf_daily.withColumns({
         "lat": F.lit(90.0) - (F.lit(500) + F.col("cell") % 50) / 10.0, "lon": (F.lit(3550) + F.col("cell") % 40) / 10.0})
-    return maps.plot_table(maps.annual_map(placed, 1997), 0.2, "data")
+    return maps.plot_table(maps.annual_map(placed, 1997), 0.2137, "data")
 
 
 # --- annual means ---------------------------------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridyield import constants as K
 from gridyield.functions.calendar import day_angle, fourier_series, per_day_of_year
-from gridyield.functions.nulls import at_least, clip, or_zero
+from gridyield.functions.nulls import at_least, clip, positive_or_zero
 
 
 def _of_day(series, doy: Column, whole_days: bool, outer=None) -> Column:
@@ -59,10 +59,11 @@ def _polynomial(coefficients, x: Column) -> Column:
 
 
 def erbs_diffuse_fraction(kt: Column) -> Column:
+    """Share of diffuse irradiance; both polynomials stay within 0..1 on their ranges."""
     return (
         F.when(kt <= F.lit(0.0), F.lit(1.0))
-        .when(kt <= F.lit(K.ERBS_LOW_LIMIT), clip(_polynomial(K.ERBS_LOW, kt), 0.0, 1.0))
-        .when(kt <= F.lit(K.ERBS_HIGH_LIMIT), clip(_polynomial(K.ERBS_MIDDLE, kt), 0.0, 1.0))
+        .when(kt <= F.lit(K.ERBS_LOW_LIMIT), _polynomial(K.ERBS_LOW, kt))
+        .when(kt <= F.lit(K.ERBS_HIGH_LIMIT), _polynomial(K.ERBS_MIDDLE, kt))
         .when(kt.isNotNull(), F.lit(K.ERBS_CLEAR))
     )
 
@@ -74,7 +75,7 @@ def plane_irradiance_kw(ghi_kw: Column, diffuse_fraction: Column, cosz: Column)
         cosz > F.lit(K.MIN_COS_ZENITH), F.greatest(ghi_kw - diffuse, F.lit(0.0)) / cosz
     ).otherwise(F.lit(0.0))
     plane = beam + diffuse * (F.lit(1.0) + cosz) / F.lit(2.0)
-    return at_least(or_zero(F.when(cosz > F.lit(0.0), plane)), 0.0)
+    return positive_or_zero(F.when(cosz > F.lit(0.0), plane))
 
 
 def temperature_factor(plane_kw: Column, tas_c: Column, wind_speed: Column) -> Column:
@@ -86,7 +87,7 @@ def temperature_factor(plane_kw: Column, tas_c: Column, wind_speed: Column) -> C
         - F.lit(K.CELL_TEMPERATURE_WIND) * wind_speed
     )
     factor = F.lit(1.0) - F.lit(K.TEMPERATURE_GAMMA) * (cell - F.lit(K.REFERENCE_CELL_TEMPERATURE))
-    return at_least(or_zero(factor), 0.0)
+    return positive_or_zero(factor)
 
 
 def solar_cf(plane_kw: Column, factor: Column) -> Column:

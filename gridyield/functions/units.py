@@ -14,7 +14,7 @@ from gridyield.constants import (
     SECONDS_PER_HOUR,
     SUNSHINE_THRESHOLD,
 )
-from gridyield.functions.nulls import at_least, finite, or_zero
+from gridyield.functions.nulls import finite, or_zero, positive_or_zero
 
 
 def _spelling(units: Column, keep_blanks: bool = False) -> Column:
@@ -34,7 +34,7 @@ def irradiance_kw(value: Column, units: Column, looks_like_watt: Column) -> Colu
         (text.contains("w") & text.contains("m")) | (~irradiance_units_known(units) & looks_like_watt)
     )
     scaled = F.when(in_watt, value / F.lit(1000.0)).otherwise(value)
-    return at_least(or_zero(finite(scaled)), 0.0)
+    return positive_or_zero(finite(scaled))
 
 
 def temperature_units_known(units: Column) -> Column:
@@ -62,12 +62,12 @@ def wind_ms(value: Column, units: Column) -> Column:
 
 def ghi_kw_from_increment(increment: Column) -> Column:
     """Energy per hour in J m-2 to mean power in kW m-2."""
-    return at_least(or_zero(finite(increment / F.lit(JOULE_PER_KWH))), 0.0)
+    return positive_or_zero(finite(increment / F.lit(JOULE_PER_KWH)))
 
 
 def precipitation_mm_h(increment: Column) -> Column:
     """Water depth per hour in m to mm h-1."""
-    return at_least(or_zero(finite(increment * F.lit(MM_PER_M))), 0.0)
+    return positive_or_zero(finite(increment * F.lit(MM_PER_M)))
 
 
 def is_sunny(increment: Column, threshold: float = SUNSHINE_THRESHOLD) -> Column:

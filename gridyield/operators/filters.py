@@ -134,14 +134,16 @@ def valid_extent(mosaic: DataFrame, value: str = "cf", pad_degrees: float = 2.0,
 
 
 def crop_to_valid(mosaic: DataFrame, value: str = "cf", pad_degrees: float = 2.0, extent: str = "data") -> DataFrame:
-    """Rows of the mosaic inside the padded box of its valid cells (box as scalar subqueries)."""
-    box = valid_extent(mosaic, value, pad_degrees, extent)
-    edge = {c: box.select(c).scalar() for c in ("r0", "r1", "c0", "c1")}
-    return _plot_row_col(mosaic).where(
-        (F.col("row") >= edge["r0"])
-        & (F.col("row") <= edge["r1"])
-        & (F.col("col") >= edge["c0"])
-        & (F.col("col") <= edge["c1"])
+    """Rows of the mosaic inside the padded box of its valid cells; the box is one scalar subquery."""
+    edges = valid_extent(mosaic, value, pad_degrees, extent).select(F.struct("r0", "r1", "c0", "c1")).scalar()
+    return (
+        _plot_row_col(mosaic)
+        .withColumn("_box", edges)
+        .where(
+            F.col("row").between(F.col("_box.r0"), F.col("_box.r1"))
+            & F.col("col").between(F.col("_box.c0"), F.col("_box.c1"))
+        )
+        .drop("_box")
     )
 
 

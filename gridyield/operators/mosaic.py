@@ -12,7 +12,9 @@ def mosaic(df: DataFrame, policy: str = "mean", value: str = "cf", order: str =
     """One value per lattice cell from the region values that cover it.
 
     ``order`` is the position of the region in the list. All policies are partial aggregates, so
-    heavily covered cells are reduced before the shuffle. Only ``mean`` counts the overlap.
+    heavily covered cells are reduced before the shuffle. Only ``mean`` counts the overlap. With an
+    ``on_lattice`` column the job fails on coordinates that are no lattice centres; the test sits on the
+    aggregate, because a filter would be pushed down to every time step.
     """
     rule = {
         "mean": F.avg(value),
@@ -23,11 +25,17 @@ def mosaic(df: DataFrame, policy: str = "mean", value: str = "cf", order: str =
     if policy not in rule:
         raise ValueError(f"policy must be one of {POLICIES}: {policy!r}")
     overlap = F.count(F.lit(1)) if policy == "mean" else F.lit(1)
-    return (
+    checked = "on_lattice" in df.columns
+    centred = F.every(F.coalesce("on_lattice", F.lit(False))) if checked else F.lit(True)
+    merged = (
         df.where(F.col(value).isNotNull())
         .groupBy("lat_idx", "lon_idx")
-        .agg(rule[policy].alias(value), overlap.cast("int").alias("overlap_count"))
+        .agg(rule[policy].alias(value), overlap.cast("int").alias("overlap_count"), centred.alias("_centred"))
     )
+    if checked:
+        problem = F.raise_error(F.concat(F.lit("coordinates are no lattice centres near row "), F.col("lat_idx")))
+        merged = merged.withColumn(value, F.when(F.col("_centred"), F.col(value)).otherwise(problem.cast("double")))
+    return merged.drop("_centred")
 
 
 def mosaic_totals(merged: DataFrame) -> DataFrame:

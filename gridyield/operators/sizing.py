@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from gridyield.session import ensure_checkpoint_dir
 
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Estimates of Parquet scans are compressed sizes, so this leaves room for a table ten times larger in memory.
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 MAX_BROADCAST_ROWS = 2_000_000
 
 

@@ -26,13 +26,6 @@ def add_lattice_index(df: DataFrame) -> DataFrame:
     )
 
 
-def require_on_lattice(df: DataFrame) -> DataFrame:
-    """Fail, inside the job, on coordinates that are no lattice centres."""
-    ok = F.coalesce(F.col("on_lattice"), F.lit(False))
-    message = F.concat(F.lit("not a lattice centre: "), F.col("lat"), F.lit(", "), F.col("lon"))
-    return df.withColumn("lat_idx", F.when(ok, F.col("lat_idx")).otherwise(F.raise_error(message)))
-
-
 def snap_to_lattice(df: DataFrame, cyclic: bool = False) -> DataFrame:
     """Nearest lattice cell per row.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridyield.operators.filters import crop_to_valid, mask_zero
 from gridyield.operators.mosaic import mosaic
-from gridyield.operators.snapping import add_lattice_index, require_on_lattice
+from gridyield.operators.snapping import add_lattice_index
 
 
 def region_order(cf: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
@@ -27,7 +27,7 @@ def annual_map(
     of_year = cf.where((F.col("year") if "year" in cf.columns else F.year(t)) == year)
     ordered = region_order(of_year, regions)
     means = ordered.groupBy("region", "ord", "lat", "lon").agg(F.avg("cf").alias("cf"))
-    return mosaic(require_on_lattice(add_lattice_index(means)), policy)
+    return mosaic(add_lattice_index(means), policy)
 
 
 def plot_table(

@@ -5,6 +5,7 @@ Group choices are ``min_by`` aggregates: they merge map-side and need no window
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,55 +68,101 @@ def add_file_period(catalog: DataFrame, name: str = "name") -> DataFrame:
     )
 
 
-def pattern_regex(pattern: str, columns: Sequence[str]) -> Column:
-    """Regular expression of a name format whose braces are filled from the row."""
-    parts, rest = [F.lit("^")], pattern
-    while rest:
-        cut = min([i for i in (rest.find("*"), rest.find("{")) if i >= 0], default=len(rest))
-        if cut:
-            parts.append(F.lit(r"\Q" + rest[:cut] + r"\E"))
-        elif rest[0] == "*":
-            parts.append(F.lit(".*"))
-            cut = 1
-        else:
-            cut = rest.index("}") + 1
-            field = rest[1 : cut - 1]
-            if field not in columns:
-                raise ValueError(f"name format needs the column {field}")
-            parts += [F.lit(r"\Q"), F.col(field).cast("string"), F.lit(r"\E")]
-        rest = rest[cut:]
-    return F.concat(*parts, F.lit("$"))
+def _template_parts(template: str, columns: Sequence[str]) -> list[Column]:
+    """Literal text between the stars of a name format, with braces filled from the row."""
+    parts = []
+    for piece in template.split("*"):
+        fields = re.split(r"\{(\w+)\}", piece)
+        missing = [f for f in fields[1::2] if f not in columns]
+        if missing:
+            raise ValueError(f"name format {template} needs the columns {missing}")
+        texts = [F.col(f).cast("string") if i % 2 else F.lit(f) for i, f in enumerate(fields) if f]
+        parts.append(F.concat(*texts) if texts else F.lit(""))
+    return parts
+
+
+def add_pattern_rank(catalog: DataFrame, patterns: Sequence[str], name: str, output: str = "_rank") -> DataFrame:
+    """Position of the first name format that matches, NULL where none does.
+
+    A name has a format when the texts between the stars occur in order, the first and the last one
+    at the ends. Text positions in staged projections replace regular expressions, which would be
+    compiled for every row because the formats depend on it.
+    """
+    df, temporary, rank = catalog, [], F.lit(None).cast("int")
+    for i, template in reversed(list(enumerate(patterns))):
+        parts = [f"_part_{i}_{j}" for j in range(template.count("*") + 1)]
+        ends = [f"_end_{i}_{j}" for j in range(len(parts))]
+        temporary += parts + ends
+        df = df.withColumns(dict(zip(parts, _template_parts(template, catalog.columns))))
+        if len(parts) == 1:
+            rank = F.when(F.col(name) == F.col(parts[0]), F.lit(i)).otherwise(rank)
+            continue
+        # _end: first free position after the part, NULL once a part is not found
+        start = F.when(F.col(name).startswith(F.col(parts[0])), F.length(parts[0]) + 1)
+        df = df.withColumn(ends[0], start)
+        for j in range(1, len(parts) - 1):
+            at = F.position(F.col(parts[j]), F.col(name), F.col(ends[j - 1]))
+            df = df.withColumn(f"_at_{i}_{j}", at).withColumn(
+                ends[j], F.when(F.col(f"_at_{i}_{j}") > 0, F.col(f"_at_{i}_{j}") + F.length(parts[j]))
+            )
+            temporary.append(f"_at_{i}_{j}")
+        tail = F.col(name).endswith(F.col(parts[-1])) & (F.length(name) - F.length(parts[-1]) + 1 >= F.col(ends[len(parts) - 2]))
+        rank = F.when(tail, F.lit(i)).otherwise(rank)
+    return df.withColumn(output, rank).drop(*temporary)
 
 
 def match_patterns(
     catalog: DataFrame, patterns: Sequence[str], keys: Sequence[str], name: str = "name"
 ) -> DataFrame:
-    """Files of the first format that matches anything for a key; files of later formats go."""
-    rank = F.lit(None).cast("int")
-    for i, pattern in reversed(list(enumerate(patterns))):
-        rank = F.when(F.rlike(F.col(name), pattern_regex(pattern, catalog.columns)), F.lit(i)).otherwise(rank)
-    ranked = catalog.withColumn("_rank", rank).where(F.col("_rank").isNotNull())
+    """Files (keys, name) of the first format that matches anything for a key; files of later formats go.
+
+    The rank is an aggregate per file: tests on it stay above the aggregate instead of being pushed,
+    with all their text expressions, into the scan.
+    """
+    ranked = add_pattern_rank(catalog, patterns, name).groupBy(*keys, name).agg(F.min("_rank").alias("_rank"))
     best = ranked.groupBy(*keys).agg(F.min("_rank").alias("_rank"))
     return ranked.join(best, [*keys, "_rank"], "left_semi").drop("_rank")
 
 
-def best_version(
-    catalog: DataFrame, keys: Sequence[str], years=None, path: str = "path", name: str = "path"
-) -> DataFrame:
-    """One file per key: narrowest period covering the request, else the widest, else the first by name."""
-    dated = add_file_period(catalog, name)
+def _version_order(years, path: str, *before: Column) -> Column:
     span = F.col("last_year") - F.col("first_year")
     covers = F.lit(False)
     if years:
         first, last = parse_years(years)
         covers = F.coalesce((F.col("first_year") <= first) & (F.col("last_year") >= last), F.lit(False))
-    order = F.struct(
+    return F.struct(
+        *before,
         F.when(covers, 0).when(F.col("first_year").isNotNull(), 1).otherwise(2),
         F.when(covers, span).otherwise(-span),
         F.col("first_year"),
         F.col(path),
     )
-    return dated.groupBy(*keys).agg(F.min_by(path, order).alias(path))
+
+
+def best_version(
+    catalog: DataFrame, keys: Sequence[str], years=None, path: str = "path", name: str = "path"
+) -> DataFrame:
+    """One file per key: narrowest period covering the request, else the widest, else the first by name."""
+    dated = add_file_period(catalog, name)
+    return dated.groupBy(*keys).agg(F.min_by(path, _version_order(years, path)).alias(path))
+
+
+def find_files(
+    catalog: DataFrame,
+    patterns: Sequence[str],
+    keys: Sequence[str],
+    years=None,
+    path: str = "path",
+    name: str = "path",
+) -> DataFrame:
+    """One file per key: best version among those of the first format that matches, in one aggregate."""
+    unmatched = len(patterns)
+    ranked = add_pattern_rank(add_file_period(catalog, name), patterns, name)
+    rank = F.coalesce("_rank", F.lit(unmatched))
+    best = ranked.groupBy(*keys).agg(
+        F.min_by(path, _version_order(years, path, rank)).alias(path), F.min(rank).alias("_best")
+    )
+    return best.where(F.col("_best") < unmatched).drop("_best")
 
 
 def preferred_file(catalog: DataFrame, keys: Sequence[str], path: str = "path", mark: str = PREFERRED_PERIOD) -> DataFrame:
