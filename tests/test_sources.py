@@ -207,9 +207,9 @@ def test_reanalysis_job_uses_the_month_before(spark, reanalysis_table, plan):
     assert "PartitionFilters: [" in plan(padded) and "PartitionFilters: []" not in plan(padded)
     assert tables.previous_month(2020, 1) == (2019, 12)
     with_before = reanalysis.solar(padded, mask, "2020", "2").where("cell = 0").orderBy("t").toPandas()
-    assert len(with_before) == 29 * 24 - 0 and with_before["cf"].between(0, 1).all() and with_before["cf"].max() > 0.2
+    assert len(with_before) == 28 * 24 and with_before["cf"].between(0, 1).all() and with_before["cf"].max() > 0.2
     ocean = reanalysis.solar(february, mask, "2020", "2").where("cell = 2")
-    assert ocean.count() == 29 * 24 and ocean.where("cf is not null").count() == 0
+    assert ocean.count() == 28 * 24 and ocean.where("cf is not null").count() == 0
 
 
 def test_wind_job_and_mean_year(spark, reanalysis_table):
