@@ -66,6 +66,34 @@ def _(d):
     return catalog.first_with_year(files, d.cf_catalog, 2024, ["region", "scenario", "technology"])
 
 
+@case("choose_cf_files", "cf_catalog", "region scenario path #n_candidates", """
+    with k as (select distinct region, scenario, path, case
+          when starts_with(path, 'wind_CF_' || region || '_') and instr(substr(path, length('wind_CF_' || region || '_') + 1), '_' || scenario || '_') > 0 then 0
+          when starts_with(path, 'wind') and instr(substr(path, 5), region) > 0 and instr(path, scenario) > 0 then 1
+          when instr(path, 'wind') > 0 and instr(path, scenario) > 0 then 2 when instr(path, scenario) > 0 then 3 end as k from cf_catalog)
+    select region, scenario, min(path) as path, count(*) as n_candidates
+    from (select *, min(k) over (partition by region, scenario) as best from k where k is not null) m
+    where k = best and exists (select 1 from cf_catalog x where x.path = m.path and x.year = 2025) group by 1, 2""")
+def _(d):
+    return catalog.choose_cf_files(d.cf_catalog, d.cf_catalog, 2025, "wind")
+
+
+@case("find_scalar_wind_files", "source_catalog", "scenario var path", f"""
+    select scenario, var, path from (select *, row_number() over (partition by scenario, var order by k,
+        case when y0 <= 2020 and y1 >= 2030 then 0 when y0 is not null then 1 else 2 end,
+        case when y0 <= 2020 and y1 >= 2030 then y1 - y0 else y0 - y1 end nulls first, y0 nulls first, path) as n
+      from (select *, case when starts_with(path, var || '_3h_bcsd_on_0.1deg_china_' || scenario || '_') then 0
+               when starts_with(path, var || '_') and instr(substr(path, length(var) + 2), 'china_' || scenario || '_') > 0 then 1
+               when starts_with(path, var || '_') and instr(substr(path, length(var) + 2), scenario) > 0 then 2 end as k
+            from (select scenario, var, y0, y1, case when region = 'R1' then replace(path, '0p1deg_R1_M0', '0.1deg_china')
+              when region = 'R2' then replace(path, 'R2_M0', 'china') else path end as path from ({PERIOD_SQL}) p) q) x where k is not null) y where n = 1""")
+def _(d):
+    path = F.when(F.col("region") == "R1", F.replace("path", F.lit("0p1deg_R1_M0"), F.lit("0.1deg_china"))).when(
+        F.col("region") == "R2", F.replace("path", F.lit("R2_M0"), F.lit("china"))).otherwise(F.col("path"))
+    renamed = d.source_catalog.withColumn("path", path)
+    return catalog.find_files(renamed, catalog.CHINA_PATTERNS, ["scenario", "var"], "2020-2030")
+
+
 @case("valid_regions", "source_catalog", "region", r"""
     select distinct region from source_catalog where region <> '' and not starts_with(region, '_') and not suffix(region, '_')
       and not suffix(region, '_repeated')""")

@@ -14,10 +14,27 @@ from gridyield.operators.sizing import broadcast_if_small
 POLICIES = ("nearest", "nan")
 
 
-def _weight(at: Column, left: Column, right: Column) -> Column:
+NUMERIC_CHUNK_DAYS = 31.0
+
+
+def _is_numeric(df: DataFrame, t: str) -> bool:
+    return dict(df.dtypes)[t] in ("float", "double", "int", "bigint")
+
+
+def _position(t: Column, numeric: bool) -> Column:
+    return t if numeric else F.unix_micros(t)
+
+
+def _default_chunk(t: str, numeric: bool) -> Column:
+    """Months; for a numeric axis in days (calendars without leap days) stretches of similar length."""
+    return F.floor(F.col(t) / F.lit(NUMERIC_CHUNK_DAYS)) if numeric else month_start(F.col(t))
+
+
+def _weight(at: Column, left: Column, right: Column, numeric: bool = False) -> Column:
     """Share of the right row; 0 on an exact hit and outside the source range."""
-    span = F.unix_micros(right) - F.unix_micros(left)
-    return F.when(span != 0, (F.unix_micros(at) - F.unix_micros(left)) / span).otherwise(F.lit(0.0))
+    start = _position(left, numeric)
+    span = _position(right, numeric) - start
+    return F.when(span != 0, (_position(at, numeric) - start) / span).otherwise(F.lit(0.0))
 
 
 def _check(policy: str) -> None:
@@ -38,12 +55,14 @@ def interpolate(
 
     ``nearest`` repeats the first and last source value outside the source range; ``nan`` gives NULL
     there and on exact hits of the first and last source step. A NULL in a bracket gives NULL.
+    ``t`` is a timestamp, or a number of days on one absolute axis for other calendars.
     """
     _check(policy)
-    found = bracket(targets, source, keys, t, values, month_start(F.col(t)) if chunk is None else chunk)
+    numeric = _is_numeric(targets, t)
+    found = bracket(targets, source, keys, t, values, _default_chunk(t, numeric) if chunk is None else chunk)
     low, high = F.coalesce("left", "right"), F.coalesce("right", "left")
     staged = found.withColumns({"_low": low, "_high": high}).withColumn(
-        "_w", _weight(F.col(t), F.col(f"_low.{t}"), F.col(f"_high.{t}"))
+        "_w", _weight(F.col(t), F.col(f"_low.{t}"), F.col(f"_high.{t}"), numeric)
     )
     inside = (F.col(t) > F.col("first_order")) & (F.col(t) < F.col("last_order"))
     outputs = {}
@@ -58,6 +77,7 @@ def interpolate(
 def bracket_table(target_axis: DataFrame, source_axis: DataFrame, t: str = "t", policy: str = "nearest") -> DataFrame:
     """Rows (source time, target time, weight, n) of the interpolation between two shared axes."""
     _check(policy)
+    numeric = _is_numeric(target_axis, t)
     key = F.lit(0).alias("_axis")
     found = bracket(
         target_axis.select(key, t).distinct(),
@@ -65,12 +85,12 @@ def bracket_table(target_axis: DataFrame, source_axis: DataFrame, t: str = "t",
         ["_axis"],
         t,
         [],
-        month_start(F.col(t)),
+        _default_chunk(t, numeric),
     )
     low, high = F.coalesce(f"left.{t}", f"right.{t}"), F.coalesce(f"right.{t}", f"left.{t}")
     staged = found.select(
         F.col(t).alias("t_target"), low.alias("_low"), high.alias("_high"), "first_order", "last_order"
-    ).withColumn("_w", _weight(F.col("t_target"), F.col("_low"), F.col("_high")))
+    ).withColumn("_w", _weight(F.col("t_target"), F.col("_low"), F.col("_high"), numeric))
     if policy == "nan":
         staged = staged.where(
             (F.col("t_target") > F.col("first_order")) & (F.col("t_target") < F.col("last_order"))

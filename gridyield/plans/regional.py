@@ -29,15 +29,21 @@ def solar(
     irradiance_units: str = "W m-2",
     temperature_units: str = "K",
     wind_units: str = "m s-1",
+    flux_axis: DataFrame | None = None,
+    state_axis: DataFrame | None = None,
 ) -> DataFrame:
     """Solar job: keep the flux axis, interpolate the instantaneous variables to it, mask the ocean.
 
-    ``flux`` has keys, lat, lon, t, rsds; ``states`` keys, t, tas and uas/vas or sfcWind.
+    ``flux`` has keys, lat, lon, t, rsds; ``states`` keys, t, tas and uas/vas or sfcWind. Time axes
+    kept as tables of their own (column t) spare a pass over the data.
     """
     wanted = select_period(flux, years, months) if years else flux
     names = ["tas", "sfcWind"] if scalar_wind else ["tas", "uas", "vas"]
     if shared_axis:
-        table = bracket_table(wanted.select("t").distinct(), states.select("t").distinct())
+        table = bracket_table(
+            (wanted if flux_axis is None else flux_axis).select("t").distinct(),
+            (states if state_axis is None else state_axis).select("t").distinct(),
+        )
         aligned = wanted.join(interpolate_shared_axis(table, states, names, keys), [*keys, "t"], "left")
     else:
         aligned = interpolate(wanted, states, names, keys)

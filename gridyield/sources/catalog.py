@@ -180,6 +180,19 @@ def first_with_year(
     return found.groupBy(*keys).agg(F.min(path).alias(path), F.count(F.lit(1)).alias("n_candidates"))
 
 
+def choose_cf_files(
+    catalog: DataFrame,
+    contents: DataFrame,
+    year: int,
+    technology: str = "auto",
+    keys: Sequence[str] = ("region", "scenario"),
+    path: str = "path",
+) -> DataFrame:
+    """Capacity-factor file per region for one year: formats of the technology in order, then the content."""
+    matched = match_patterns(catalog, CF_PATTERNS[technology], keys, path)
+    return first_with_year(matched, contents, year, keys, path)
+
+
 def yearly_files(catalog: DataFrame, keys: Sequence[str], years, name: str = "name", path: str = "path") -> DataFrame:
     """File per key and year from the time stamp in the name, the last by name where several match."""
     first, last = parse_years(years)

@@ -275,3 +275,32 @@ def test_global_lattice_scan_serves_all_regions_once(spark, folder, plan):
     assert out.count() == 20
     text = plan(out)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_rotated_sink(spark, folder):
+    rows = [("wind", "g", "r", "c", "s", y, 1, 2, 40.0, -90.0, datetime(y, 1, 1), 0.5) for y in (2020, 2021)]
+    ddl = ("energy string, gcm string, realization string, rcm string, scenario string, year int, rlat_i int, rlon_i int, "
+           "lat double, lon double, t timestamp, cf double")
+    sinks.write_cf(spark.createDataFrame(rows, ddl), f"{folder}/cf", sinks.ROTATED_PARTITIONS, ("rlat_i", "rlon_i", "t"))
+    assert {r["year"] for r in coverage.available_years(spark.read.parquet(f"{folder}/cf")).collect()} == {2020, 2021}
+
+
+def test_choice_of_cf_files(spark):
+    names = ["wind_CF_A_M_ssp126_2015-2060_allmonths.nc", "wind_CF_A_M_ssp126_2010-2014_allmonths.nc", "solar_CF_A_M_ssp126_2015-2060_allmonths.nc"]
+    files = spark.createDataFrame([("A", "ssp126", n) for n in names] + [("B", "ssp126", "any_ssp126.nc")], "region string, scenario string, path string")
+    contents = spark.createDataFrame([(names[0], 2020), (names[1], 2012), (names[2], 2020), ("any_ssp126.nc", 2020)], "path string, year int")
+    got = {r["region"]: (r["path"], r["n_candidates"]) for r in catalog.choose_cf_files(files, contents, 2020, "wind").collect()}
+    assert got == {"A": (names[0], 1), "B": ("any_ssp126.nc", 1)}
+
+
+def test_derived_dimension_is_checkpointed_when_large(spark):
+    from gridyield.operators import sizing
+    from gridyield.session import ensure_checkpoint_dir
+
+    assert ensure_checkpoint_dir(spark)
+    old, sizing.MAX_BROADCAST_BYTES = sizing.MAX_BROADCAST_BYTES, 1
+    try:
+        kept = sizing.materialised(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+    finally:
+        sizing.MAX_BROADCAST_BYTES = old
+    assert kept.count() == 7

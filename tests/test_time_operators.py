@@ -225,3 +225,14 @@ def test_sunshine_hours(spark, rule, hours):
     got = climate.mean_sunshine_hours(df, rule=rule).first()["value"]
     # monthly rule: the total falls at 01:00 of the second day, so that hour is lost
     assert got == hours
+
+
+def test_interpolation_on_a_calendar_without_leap_days(spark):
+    # days since an epoch; both axes on the same absolute axis, across what would be 29 February
+    source = spark.createDataFrame([(1, 58.0 + k * 0.125, float(k)) for k in range(16)], "cell int, t_days double, v double")
+    goals = spark.createDataFrame([(1, 58.0625), (1, 59.0), (1, 40.0), (1, 90.0)], "cell int, t_days double")
+    own = interpolation.interpolate(goals, source, ["v"], t="t_days")
+    assert {r["t_days"]: r["v"] for r in own.collect()} == {58.0625: 0.5, 59.0: 8.0, 40.0: 0.0, 90.0: 15.0}
+    table = interpolation.bracket_table(goals.select("t_days"), source.select("t_days"), t="t_days")
+    shared = interpolation.interpolate_shared_axis(table, source, ["v"], t="t_days")
+    assert {r["t_days"]: r["v"] for r in shared.collect()} == {58.0625: 0.5, 59.0: 8.0, 40.0: 0.0, 90.0: 15.0}
