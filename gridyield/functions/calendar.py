@@ -45,6 +45,11 @@ def month_start(t: Column) -> Column:
     return F.trunc(t, "month")
 
 
+def time_chunk(t: Column, days: int = 90) -> Column:
+    """Number of the stretch of days a timestamp falls into; plain arithmetic, cheap to hash and sort."""
+    return F.floor(F.unix_seconds(t) / F.lit(float(days * 86400)))
+
+
 def by_month(month: Column, values: Iterable[int]) -> Column:
     """Value of a twelve-entry list for the month number (1..12)."""
     return F.get(F.array(*[F.lit(v) for v in values]), month - F.lit(1))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridyield.functions.calendar import month_start
+from gridyield.functions.calendar import time_chunk
 from gridyield.functions.nulls import at_least
 from gridyield.operators.neighbours import with_previous
 
@@ -40,7 +40,7 @@ def deaccumulate(
         .when(F.col("has_previous"), total - F.col(f"previous_{value}"))
         .otherwise(first)
     )
-    found = with_previous(df, keys, t, [value], month_start(F.col(t)) if chunk is None else chunk)
+    found = with_previous(df, keys, t, [value], time_chunk(F.col(t)) if chunk is None else chunk)
     return (
         found.withColumn("_step", step)
         .withColumn(output, at_least(F.when(F.col("_step") < 0, total).otherwise(F.col("_step")), 0.0))

@@ -7,14 +7,14 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridyield.functions.calendar import month_start
+from gridyield.functions.calendar import time_chunk
 from gridyield.operators.neighbours import bracket
 from gridyield.operators.sizing import broadcast_if_small
 
 POLICIES = ("nearest", "nan")
 
 
-NUMERIC_CHUNK_DAYS = 31.0
+NUMERIC_CHUNK_DAYS = 90.0
 
 
 def _is_numeric(df: DataFrame, t: str) -> bool:
@@ -26,8 +26,8 @@ def _position(t: Column, numeric: bool) -> Column:
 
 
 def _default_chunk(t: str, numeric: bool) -> Column:
-    """Months; for a numeric axis in days (calendars without leap days) stretches of similar length."""
-    return F.floor(F.col(t) / F.lit(NUMERIC_CHUNK_DAYS)) if numeric else month_start(F.col(t))
+    """Stretches of ninety days; a numeric axis counts days (calendars without leap days)."""
+    return F.floor(F.col(t) / F.lit(NUMERIC_CHUNK_DAYS)) if numeric else time_chunk(F.col(t))
 
 
 def _weight(at: Column, left: Column, right: Column, numeric: bool = False) -> Column:

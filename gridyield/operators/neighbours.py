@@ -1,7 +1,7 @@
 """Previous row and bracketing rows per key, without ever putting one key into one task.
 
 A window over (key) would collect a whole key. Here every key is cut into chunks along the order
-column (a month, a block of steps); the window runs over (key, chunk) and the rows that matter across
+column (ninety days, a block of steps); the window runs over (key, chunk) and the rows that matter across
 a border are carried over from a summary of one row per (key, chunk). The summary is a partial
 (map-side) aggregate, so what reaches the per-key window is the number of chunks, which the calendar
 bounds.
