@@ -12,6 +12,7 @@ from gridyield.functions.nulls import clip
 
 
 def speed(u: Column, v: Column) -> Column:
+    u, v = u.cast("double"), v.cast("double")
     return F.sqrt(u * u + v * v)
 
 

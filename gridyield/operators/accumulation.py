@@ -33,8 +33,8 @@ def deaccumulate(
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}: {policy!r}")
-    total = F.col(value)
-    first = {"zero": F.lit(0.0), "nan": F.lit(None).cast("double"), "current": total.cast("double")}[policy]
+    total = F.col(value).cast("double")  # stored in single precision
+    first = {"zero": F.lit(0.0), "nan": F.lit(None).cast("double"), "current": total}[policy]
     step = (
         F.when(F.hour(t) == 1, total)
         .when(F.col("has_previous"), total - F.col(f"previous_{value}"))
@@ -59,6 +59,6 @@ def monthly_difference(
     return (
         df.withColumns({"year": F.year(t), "month": F.month(t)})
         .withColumn("_previous", F.lag(value, 1, 0.0).over(within))
-        .withColumn(output, at_least(F.col(value) - F.col("_previous"), 0.0))
+        .withColumn(output, at_least(F.col(value).cast("double") - F.col("_previous"), 0.0))
         .drop("_previous")
     )

@@ -134,16 +134,13 @@ def valid_extent(mosaic: DataFrame, value: str = "cf", pad_degrees: float = 2.0,
 
 
 def crop_to_valid(mosaic: DataFrame, value: str = "cf", pad_degrees: float = 2.0, extent: str = "data") -> DataFrame:
-    """Rows of the mosaic inside the padded box of its valid cells; the box is one scalar subquery."""
-    edges = valid_extent(mosaic, value, pad_degrees, extent).select(F.struct("r0", "r1", "c0", "c1")).scalar()
-    return (
-        _plot_row_col(mosaic)
-        .withColumn("_box", edges)
-        .where(
-            F.col("row").between(F.col("_box.r0"), F.col("_box.r1"))
-            & F.col("col").between(F.col("_box.c0"), F.col("_box.c1"))
-        )
-        .drop("_box")
+    """Rows of the mosaic inside the padded box of its valid cells.
+
+    Runs one aggregate job for the four edges; as literals they reach the scan of a stored mosaic.
+    """
+    box = valid_extent(mosaic, value, pad_degrees, extent).select("r0", "r1", "c0", "c1").first()
+    return _plot_row_col(mosaic).where(
+        F.col("lat_idx").between(box["r0"], box["r1"]) & F.col("col").between(box["c0"], box["c1"])
     )
 
 

@@ -29,12 +29,13 @@ def broadcast_if_small(
     """Mark a join side for broadcast when its size is proven small, else leave the choice to Spark.
 
     First the plan estimate, which costs nothing; only when that is too large (estimates of
-    aggregates are upper bounds) a row count that stops at ``max_rows``.
+    aggregates are upper bounds) a row count. It is a plain count, whose partial counts merge; a
+    limit would send its rows to one task.
     """
     estimate = estimated_bytes(df)
     if estimate is not None and estimate <= max_bytes:
         return F.broadcast(df)
-    if count_rows and df.limit(max_rows + 1).count() <= max_rows:
+    if count_rows and df.count() <= max_rows:
         return F.broadcast(df)
     return df
 
