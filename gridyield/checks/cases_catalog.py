@@ -161,11 +161,13 @@ def _(d):
     return coverage.missing_years(d.variable_years, VARIABLES, keys=["region"])
 
 
-@case("pending_outputs", "cf_daily", "energy region #year", """
-    select distinct energy, region, year from cf_daily except select energy, region, year from cf_daily where cf >= 0.8937e0""")
+@case("pending_outputs", "cf_daily", "energy cell #year #month", """
+    select distinct energy, cell, year, month(t) as month from cf_daily
+    except select energy, cell, year, month(t) from cf_daily where cf >= 0.8937e0""")
 def _(d):
-    keys = ["energy", "region", "year"]
-    return coverage.pending(d.cf_daily.select(*keys).distinct(), d.cf_daily.where("cf >= 0.8937"), keys)
+    keys = ["energy", "cell", "year", "month"]
+    rows = d.cf_daily.withColumn("month", F.month("t"))
+    return coverage.pending(rows.select(*keys).distinct(), rows.where("cf >= 0.8937"), keys)
 
 
 @case("concat_years", "cf_daily", "energy region cell t ~cf", """

@@ -13,6 +13,7 @@ from gridyield.operators.filters import select_period
 from gridyield.operators.interpolation import bracket_table, interpolate, interpolate_shared_axis
 from gridyield.operators.masking import apply_land_mask
 from gridyield.operators.photovoltaic import add_solar_cf
+from gridyield.operators.unit_flags import convert_irradiance, convert_temperature
 from gridyield.operators.windpower import add_wind_cf
 
 
@@ -26,16 +27,18 @@ def solar(
     missing_wind: str = "zero_cf",
     shared_axis: bool = True,
     keys: Sequence[str] = ("cell",),
-    irradiance_units: str = "W m-2",
-    temperature_units: str = "K",
+    irradiance_units: str | None = "W m-2",
+    temperature_units: str | None = "K",
     wind_units: str = "m s-1",
+    file_keys: Sequence[str] = (),
     flux_axis: DataFrame | None = None,
     state_axis: DataFrame | None = None,
 ) -> DataFrame:
     """Solar job: keep the flux axis, interpolate the instantaneous variables to it, mask the ocean.
 
     ``flux`` has keys, lat, lon, t, rsds; ``states`` keys, t, tas and uas/vas or sfcWind. Time axes
-    kept as tables of their own (column t) spare a pass over the data.
+    kept as tables of their own (column t) spare a pass over the data. Units given as None are judged
+    by magnitude per ``file_keys``, columns of ``flux`` that tell the files apart.
     """
     wanted = select_period(flux, years, months) if years else flux
     names = ["tas", "sfcWind"] if scalar_wind else ["tas", "uas", "vas"]
@@ -47,20 +50,26 @@ def solar(
         aligned = wanted.join(interpolate_shared_axis(table, states, names, keys), [*keys, "t"], "left")
     else:
         aligned = interpolate(wanted, states, names, keys)
-    wind = {}
     if missing_wind == "zero_wind":
         # those copies convert the wind first, which turns missing into calm
-        wind = {w: U.wind_ms(F.col(w), F.lit(wind_units)) for w in names[1:]}
-    ready = aligned.withColumns(
-        {
-            "ghi_kw": U.irradiance_kw(F.col("rsds"), F.lit(irradiance_units), F.lit(False)),
-            "tas_c": U.temperature_celsius(F.col("tas"), F.lit(temperature_units), F.lit(False)),
-            **wind,
-        }
+        aligned = aligned.withColumns({w: U.wind_ms(F.col(w), F.lit(wind_units)) for w in names[1:]})
+    if irradiance_units is None or temperature_units is None:
+        if not file_keys:
+            raise ValueError("unknown units are judged per file: name the columns in file_keys")
+    labelled = aligned.withColumns(
+        {"_flux_units": F.lit(irradiance_units).cast("string"), "_tas_units": F.lit(temperature_units).cast("string")}
     )
+    if irradiance_units is None:
+        ready = convert_irradiance(labelled, "rsds", "_flux_units", file_keys)
+    else:
+        ready = labelled.withColumn("ghi_kw", U.irradiance_kw(F.col("rsds"), F.col("_flux_units"), F.lit(False)))
+    if temperature_units is None:
+        ready = convert_temperature(ready, "tas", "_tas_units", file_keys)
+    else:
+        ready = ready.withColumn("tas_c", U.temperature_celsius(F.col("tas"), F.col("_tas_units"), F.lit(False)))
     speed = "sfcWind" if scalar_wind else None
     out = add_solar_cf(ready, speed=speed, missing_wind=missing_wind)
-    return apply_land_mask(out, mask).drop("ghi_kw", "tas_c", "rsds", *names)
+    return apply_land_mask(out, mask).drop("ghi_kw", "tas_c", "rsds", "_flux_units", "_tas_units", *names)
 
 
 def wind(

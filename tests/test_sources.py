@@ -304,3 +304,14 @@ def test_derived_dimension_is_checkpointed_when_large(spark):
     finally:
         sizing.MAX_BROADCAST_BYTES = old
     assert kept.count() == 7
+
+
+def test_unknown_units_are_judged_by_magnitude(spark):
+    flux, states, mask = regional_input(spark)
+    named = flux.withColumn("file", F.lit("f"))
+    known = regional.solar(named, states, mask).orderBy("cell", "t").toPandas()
+    guessed = regional.solar(named, states, mask, irradiance_units=None, temperature_units=None, file_keys=["file"]).orderBy("cell", "t").toPandas()
+    np.testing.assert_allclose(known["cf"].astype(float), guessed["cf"].astype(float), atol=1e-12)
+    assert set(known.columns) == {"cell", "lat", "lon", "t", "file", "cf"} == set(guessed.columns)
+    with pytest.raises(ValueError):
+        regional.solar(named, states, mask, irradiance_units=None)
