@@ -21,12 +21,12 @@ def lattice(d):
 
 # --- lattice ------------------------------------------------------------------------------------------------
 
-@case("region_grid_extract", "region_cells_raw", "region ~lat ~lon", "select distinct region, lat, lon from region_cells_raw")
+@case("region_grid_extract", "region_cells_raw", "#region ~lat ~lon", "select distinct region, lat, lon from region_cells_raw")
 def _(d):
     return snapping.region_grid(d.region_cells_raw)
 
 
-@case("lattice_index", "region_cells_raw", "region ~lat ~lon #lat_idx #lon_idx on_lattice", """
+@case("lattice_index", "region_cells_raw", "#region ~lat ~lon #lat_idx #lon_idx on_lattice", """
     select region, lat, lon, lat_idx, lon_idx,
       abs(90.0e0 - lat_idx / 10.0e0 - lat) <= 0.001e0 and abs(lon_idx / 10.0e0 - lon) <= 0.001e0 as on_lattice
     from (select region, lat, lon, cast(round_even((90.0e0 - lat) / 0.1e0, 0) as int) as lat_idx,
@@ -46,12 +46,12 @@ NEAREST_SQL = """
       from (select *, lon % 360.0e0 as w from {}) y) x"""
 
 
-@case("nearest_axis_snap", "region_points", "region ~lat ~lon #gi_lat #gi_lon", NEAREST_SQL.format("region_points"))
+@case("nearest_axis_snap", "region_points", "#region ~lat ~lon #gi_lat #gi_lon", NEAREST_SQL.format("region_points"))
 def _(d):
     return snapping.snap_to_lattice(d.region_points)
 
 
-@case("nearest_point_snap", "region_cells_raw", "region ~lat ~lon #gi_lat #gi_lon", NEAREST_SQL.format("""
+@case("nearest_point_snap", "region_cells_raw", "#region ~lat ~lon #gi_lat #gi_lon", NEAREST_SQL.format("""
     (select region, lat * 0.97e0 + 0.004e0 * lon as lat, lon + 0.03e0 * lat as lon, true as is_land from region_cells_raw)"""))
 def _(d):
     tilted = d.region_cells_raw.select(
@@ -59,7 +59,7 @@ def _(d):
     return snapping.snap_to_lattice(tilted)
 
 
-@case("nearest_snap_cyclic", "region_cells_raw", "region ~lon #gi_lon", """
+@case("nearest_snap_cyclic", "region_cells_raw", "#region ~lon #gi_lon", """
     select region, lon, (case when abs(w - floor(w * 10.0e0) / 10.0e0) <= abs(w - (floor(w * 10.0e0) + 1.0e0) / 10.0e0)
           then cast(floor(w * 10.0e0) as int) else cast(floor(w * 10.0e0) as int) + 1 end) % 3600 as gi_lon
     from (select region, lon + 0.07e0 as lon, (lon + 0.07e0) % 360.0e0 as w from region_cells_raw) x""")
@@ -110,7 +110,7 @@ def crop_input(d):
     return lattice(d).withColumn("cf", F.when(inside, F.col("cf")))
 
 
-@case("valid_bbox_crop", "region_cells_raw", "region #lat_idx #lon_idx #col ~cf", CROPPED_SQL + """
+@case("valid_bbox_crop", "region_cells_raw", "#region #lat_idx #lon_idx #col ~cf", CROPPED_SQL + """
     select region, lat_idx, lon_idx, col, cf from x, b where lat_idx between r0 and r1 and col between c0 and c1""")
 def _(d):
     return filters.crop_to_valid(crop_input(d), pad_degrees=0.5)
@@ -258,12 +258,12 @@ def snapped_cells(d):
     return snapping.snap_to_lattice(d.region_points)
 
 
-@case("region_cells_join", "region_points lattice_cf", "region ~lat ~lon is_land #lat_idx #lon_idx energy #year ~cf", SNAPPED_CELLS)
+@case("region_cells_join", "region_points lattice_cf", "#region ~lat ~lon is_land #lat_idx #lon_idx energy #year ~cf", SNAPPED_CELLS)
 def _(d):
     return regions.snapped_cell_means(d.lattice_cf, snapped_cells(d))
 
 
-@case("region_annual_mean_snapped", "region_points lattice_cf", REGION_COLUMNS, SNAPPED_SQL)
+@case("region_annual_mean_snapped", "region_points lattice_cf", REGION_COLUMNS.replace("region", "#region"), SNAPPED_SQL)
 def _(d):
     return regions.region_annual_mean_snapped(d.lattice_cf, snapped_cells(d))
 
@@ -316,7 +316,7 @@ def _(d):
 
 
 @case("country_weather_stats", "weather_gaps land_mask",
-      "country ~land_share ~mean_wind_speed ~max_wind_speed ~mean_rsds ~max_rsds", """
+      "#country ~land_share ~mean_wind_speed ~max_wind_speed ~mean_rsds ~max_rsds", """
     with x as (select cast(w.cell % 5 as int) as country, w.cell, is_land, sqrt(uas * uas + vas * vas) as ws, rsds
         from weather_gaps w join land_mask m on m.cell = w.cell)
     select a.country, land_share, mean_wind_speed, max_wind_speed, mean_rsds, max_rsds from (

@@ -98,7 +98,7 @@ def _(d):
 
 # --- coordinates --------------------------------------------------------------------------------------------
 
-@case("lon_lat_normalize", "region_cells_raw", "region lat lon ~lon_180 ~lat_clipped", """
+@case("lon_lat_normalize", "region_cells_raw", "#region lat lon ~lon_180 ~lat_clipped", """
     select region, lat, lon, ((lon + 180.0e0) % 360.0e0) - 180.0e0 as lon_180,
       least(greatest(lat * 2.6e0 - 15.0e0, -90.0e0), 90.0e0) as lat_clipped from region_cells_raw""")
 def _(d):
@@ -106,7 +106,7 @@ def _(d):
     return d.region_cells_raw.withColumns({"lon_180": geo.lon_180(F.col("lon")), "lat_clipped": geo.lat_clipped(lat)})
 
 
-@case("lon_0360", "region_cells_raw", "region lat lon ~lon_0360", """
+@case("lon_0360", "region_cells_raw", "#region lat lon ~lon_0360", """
     select region, lat, lon, case when w >= 359.9964e0 then 0.0e0 else w end as lon_0360
     from (select region, lat, lon, ((lon - 720.0e0 + 0.0999e0) % 360.0e0 + 360.0e0) % 360.0e0 as w from region_cells_raw) x""")
 def _(d):

@@ -14,6 +14,7 @@ DIGITS = 6
 # of a sum decides. Both sides are shifted by the same amount before rounding, which moves the
 # half-way points to numbers that do not occur.
 SHIFT = 1.3e-8
+ALWAYS_INTEGER = {"cell"}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -40,7 +41,7 @@ def rounded(needs: str, columns: str, body: str) -> str:
         name = item.strip("~#")
         if item.startswith("~"):
             shown.append(f"round({name} + {SHIFT}, {DIGITS}) + 0.0e0 as {name}")
-        elif item.startswith("#"):
+        elif item.startswith("#") or name in ALWAYS_INTEGER:
             shown.append(f"cast({name} as bigint) as {name}")
         else:
             shown.append(name)

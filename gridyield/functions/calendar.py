@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from typing import Iterable
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,9 +88,9 @@ def day_angle(doy):
 def per_day_of_year(function, doy: Column) -> Column:
     """Look up a function of the day number in a 366-entry constant array.
 
-    The array is folded into the plan once, so a row pays one array access instead of
+    The array is one constant of the plan, so a row pays one array access instead of
     several trigonometric calls. Only for whole day numbers.
     """
-    # one expression text instead of hundreds of calls into the JVM
-    table = F.expr("array(" + ", ".join(f"{float(function(day))!r}D" for day in range(1, 367)) + ")")
+    # a numpy array becomes a single literal, which keeps the plan small
+    table = F.lit(np.array([float(function(day)) for day in range(1, 367)]))
     return F.get(table, doy.cast("int") - F.lit(1))

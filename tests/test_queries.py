@@ -23,7 +23,8 @@ def test_query_equals_sql(spark, duck, key):
     df = entry.queries()[key](spark, SMALL)
     cursor = duck.execute(entry.oracle_sql()[key])
     names = [c[0] for c in cursor.description]
-    assert sorted(names) == sorted(df.columns)
+    types = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+    assert {n: types.get(t) for n, t in df.dtypes} == dict(zip(names, (str(c[1]) for c in cursor.description)))
     assert bag([tuple(r) for r in df.collect()], df.columns) == bag(cursor.fetchall(), names)
 
 
