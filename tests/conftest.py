@@ -17,7 +17,7 @@ from gridyield.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="6g",
-        spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
