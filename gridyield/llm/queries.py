@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from gridyield.llm.queries_language import op7_language_id
 from gridyield.llm.queries_url import OP5_SQL, op5_url_filter
 
 QUERIES = {
+    "op7_language_id": op7_language_id,
     "op5_url_filter": op5_url_filter,
 }
 ORACLES = {

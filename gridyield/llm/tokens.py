@@ -1,26 +1,24 @@
 """Token ids of the ``tokenizers`` library, with each distinct word encoded once per worker.
 
-Byte-level tokenizers split a text into words first, and the ids of a text are the ids of its words
-one after the other. Words repeat, so the ids of a word are kept and looked up. Texts in which the
-split could depend on anything else (an added token, a character outside the checked ranges) go to
-the library whole.
+Byte-level tokenizers split a text before they merge, and a blank in front of a character that is no
+white space always opens a new piece. So a text may be cut in front of such blanks, and its ids are
+the ids of the parts one after the other. The parts repeat; the library encodes each new one, and its
+ids are kept. Tokenizers of another kind, and texts that hold an added token, are encoded whole.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
-#: Fixed value: the word pattern of byte-level tokenizers.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters on whose class both regular expression engines agree (a test goes through them one by one).
-PLAIN = r"[\t\n\r\x20-\x7e\xa1-ɏͰ-ͳЀ-ҁ‐-‧‰-⁞₠-₿぀-ゖァ-ヺ一-龥가-힣]*+"
-KEPT_WORDS = 400_000
-SLICE = 1 << 20
+KEPT_WORDS = 1_000_000  # kept parts, about 200 bytes each
+TOGETHER = 20_000  # new parts that the library gets at a time
+#: Characters behind a blank at which a text is not cut: white space of either library, and marks some versions count to it.
+NO_CUT = re.compile(r"[\s\x1c-\x1f\x85᠎​-‏⁠﻿]")
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
@@ -42,54 +40,65 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         split = parts.get("pre_tokenizer") or {}
-        self.by_word = (
+        self.by_part = (
             parts.get("normalizer") is None and split.get("type") == "ByteLevel"
             and split.get("use_regex", True) and not split.get("add_prefix_space", True)
         )
         added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
-        self.words, self.plain, self.cut = regex.compile(WORDS), regex.compile(PLAIN), regex.compile(r"\S(?= \S)")
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
 
     def size(self) -> int:
         return self.whole.get_vocab_size(with_added_tokens=True)
 
-    def _split(self, text: str) -> list[list[str]] | None:
-        """Words of the text in slices, None where the text must be encoded whole."""
-        if not self.by_word or not self.plain.fullmatch(text) or self.added and self.added.search(text):
-            return None
-        out, start = [], 0
-        while len(text) - start > 2 * SLICE and (found := self.cut.search(text, start + SLICE)):
-            out.append(self.words.findall(text, start, found.end()))
-            start = found.end()
-        out.append(self.words.findall(text, start))
-        return out
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        new = sorted(words - self.known.keys())
-        if not new:
-            return
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known = {}
-            new = sorted(words)
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            for word, got in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, "<u4").tobytes()
+    def _look_up(self, words: list[str]) -> dict[str, bytes]:
+        """ids of blank + word for every word that is not kept yet; keeps them as long as there is room."""
+        new = [w for w in set(words) if w not in self.known]
+        found: dict[str, bytes] = {}
+        for k in range(0, len(new), TOGETHER):
+            part = new[k:k + TOGETHER]
+            got = self.whole.encode(" " + " ".join(part), add_special_tokens=False)
+            ids = np.array(got.ids, "<u4")
+            starts = np.fromiter((o[0] for o in got.offsets), np.int64, len(ids))
+            borders = np.searchsorted(starts, np.cumsum([0] + [len(w) + 1 for w in part]))
+            for word, a, b in zip(part, borders[:-1].tolist(), borders[1:].tolist()):
+                found[word] = ids[a:b].tobytes()
+        if len(self.known) + len(found) <= KEPT_WORDS:
+            self.known.update(found)
+        return found
+
+    def _parts(self, text: str) -> tuple[str, list[str]] | None:
+        """The text up to the first cut, and the words behind the cuts without their blank."""
+        if not self.by_part or self.added and self.added.search(text):
+            return None
+        words = text.split(" ")
+        if "" in words or NO_CUT.search(text) and any(w and NO_CUT.match(w) for w in words):
+            joined = words[:1]
+            for word in words[1:]:
+                if not word or NO_CUT.match(word):
+                    joined[-1] += " " + word
+                else:
+                    joined.append(word)
+            words = joined
+        return words[0], words[1:]
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         out = []
         for text in texts:
-            slices = self._split(text) if text else []
-            if slices is None:
-                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4"))
+            parts = self._parts(text) if text else ("", [])
+            if parts is None:
+                out.append(np.frombuffer(self._whole(text), "<u4"))
                 continue
-            raw = []
-            for words in slices:
-                try:
-                    raw.append(b"".join([self.known[w] for w in words]))
-                except KeyError:
-                    self._learn(set(words))
-                    raw.append(b"".join([self.known[w] for w in words]))
-            out.append(np.frombuffer(b"".join(raw), "<u4"))
+            first, words = parts
+            head = self._whole(first) if first else b""
+            known = self.known
+            try:
+                raw = b"".join([known[w] for w in words])
+            except KeyError:
+                found = self._look_up(words)
+                raw = b"".join([known[w] if w in known else found[w] for w in words])
+            out.append(np.frombuffer(head + raw, "<u4"))
         return out
