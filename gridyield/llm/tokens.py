@@ -15,10 +15,10 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 1_000_000  # kept parts, about 200 bytes each
-TOGETHER = 20_000  # new parts that the library gets at a time
-#: Characters behind a blank at which a text is not cut: white space of either library, and marks some versions count to it.
-NO_CUT = re.compile(r"[\s\x1c-\x1f\x85᠎​-‏⁠﻿]")
+KEPT_WORDS = 1_500_000  # kept parts, about 200 bytes each
+TOGETHER = 2_000  # new parts that the library gets at a time
+#: Blanks at which a text is not cut: in front of white space of either library, of marks that some versions count to it, or of the end.
+NO_CUT = re.compile(r" (?=[\s\x1c-\x1f\x85\u180e\u200b-\u200f\u2060\ufeff]|\Z)")
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
@@ -47,6 +47,7 @@ class Encoder:
         added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
+        self.mark = {m: self._whole(m) for m in ".,"}
 
     def size(self) -> int:
         return self.whole.get_vocab_size(with_added_tokens=True)
@@ -54,51 +55,66 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _look_up(self, words: list[str]) -> dict[str, bytes]:
-        """ids of blank + word for every word that is not kept yet; keeps them as long as there is room."""
-        new = [w for w in set(words) if w not in self.known]
+    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """ids of blank + part for each part, from one call of the library for many."""
         found: dict[str, bytes] = {}
-        for k in range(0, len(new), TOGETHER):
-            part = new[k:k + TOGETHER]
-            got = self.whole.encode(" " + " ".join(part), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            starts = np.fromiter((o[0] for o in got.offsets), np.int64, len(ids))
-            borders = np.searchsorted(starts, np.cumsum([0] + [len(w) + 1 for w in part]))
-            for word, a, b in zip(part, borders[:-1].tolist(), borders[1:].tolist()):
-                found[word] = ids[a:b].tobytes()
-        if len(self.known) + len(found) <= KEPT_WORDS:
-            self.known.update(found)
+        for k in range(0, len(parts), TOGETHER):
+            some = parts[k:k + TOGETHER]
+            got = self.whole.encode(" " + " ".join(some), add_special_tokens=False)
+            raw = np.array(got.ids, "<u4").tobytes()
+            starts = np.fromiter((o[0] for o in got.offsets), np.int64, len(raw) // 4)
+            lengths = np.fromiter(map(len, some), np.int64, len(some)) + 1
+            borders = (np.searchsorted(starts, np.cumsum(lengths)) * 4).tolist()
+            found.update(zip(some, (raw[a:b] for a, b in zip([0, *borders[:-1]], borders))))
         return found
 
-    def _parts(self, text: str) -> tuple[str, list[str]] | None:
+    def _look_up(self, new: set[str]) -> dict[str, bytes]:
+        """ids of blank + word for words that are not kept; keeps them as long as there is room.
+
+        A word of letters with a full stop or comma behind it is two pieces, so only its letters are encoded.
+        """
+        known, stems = self.known, {}
+        for word in new:
+            if word[-1] in self.mark and word[:-1].isalpha():
+                stems[word] = word[:-1]
+        wanted = [w for w in (new - stems.keys()) | set(stems.values()) if w not in known]
+        found = self._encode_parts(wanted)
+        for word, stem in stems.items():
+            found[word] = (known.get(stem) or found[stem]) + self.mark[word[-1]]
+        if len(known) + len(found) <= KEPT_WORDS:
+            known.update(found)
+        return found
+
+    def _parts(self, text: str) -> list[str] | None:
         """The text up to the first cut, and the words behind the cuts without their blank."""
         if not self.by_part or self.added and self.added.search(text):
             return None
         words = text.split(" ")
-        if "" in words or NO_CUT.search(text) and any(w and NO_CUT.match(w) for w in words):
+        if NO_CUT.search(text):
             joined = words[:1]
             for word in words[1:]:
-                if not word or NO_CUT.match(word):
+                if NO_CUT.match(" " + word):
                     joined[-1] += " " + word
                 else:
                     joined.append(word)
             words = joined
-        return words[0], words[1:]
+        return words
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        parts = [self._parts(text) if text else [""] for text in texts]
+        known = self.known
+        new = {w for words in parts if words for w in words[1:] if w not in known}
+        found = self._look_up(new) if new else {}
         out = []
-        for text in texts:
-            parts = self._parts(text) if text else ("", [])
-            if parts is None:
-                out.append(np.frombuffer(self._whole(text), "<u4"))
-                continue
-            first, words = parts
-            head = self._whole(first) if first else b""
-            known = self.known
-            try:
-                raw = b"".join([known[w] for w in words])
-            except KeyError:
-                found = self._look_up(words)
-                raw = b"".join([known[w] if w in known else found[w] for w in words])
-            out.append(np.frombuffer(head + raw, "<u4"))
+        for text, words in zip(texts, parts):
+            if words is None:
+                raw = self._whole(text)
+            else:
+                try:
+                    raw = b"".join([known[w] for w in words[1:]])
+                except KeyError:
+                    raw = b"".join([known[w] if w in known else found[w] for w in words[1:]])
+                if words[0]:
+                    raw = self._whole(words[0]) + raw
+            out.append(np.frombuffer(raw, "<u4"))
         return out
