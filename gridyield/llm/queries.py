@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from gridyield.llm.queries_language import op7_language_id
+from gridyield.llm.queries_ngram import op6_ngram_join
 from gridyield.llm.queries_tokens import op8_token_files, op9_best_fit_packing
 from gridyield.llm.queries_url import OP5_SQL, op5_url_filter
 
 QUERIES = {
+    "op6_ngram_join": op6_ngram_join,
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op7_language_id": op7_language_id,
