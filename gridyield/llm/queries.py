@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gridyield.llm.queries_language import op7_language_id
 from gridyield.llm.queries_ngram import op6_ngram_join
+from gridyield.llm.queries_suffix import op10_suffix_dedup
 from gridyield.llm.queries_tokens import op8_token_files, op9_best_fit_packing
 from gridyield.llm.queries_url import OP5_SQL, op5_url_filter
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op5_url_filter": op5_url_filter,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES = {
     "op5_url_filter": OP5_SQL,
