@@ -7,8 +7,11 @@ from gridyield.llm.queries_ngram import op6_ngram_join
 from gridyield.llm.queries_suffix import op10_suffix_dedup
 from gridyield.llm.queries_tokens import op8_token_files, op9_best_fit_packing
 from gridyield.llm.queries_url import OP5_SQL, op5_url_filter
+from gridyield.llm.queries_vectors import op1_embedding_dedup, op4_nearest_neighbours
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op6_ngram_join": op6_ngram_join,
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
