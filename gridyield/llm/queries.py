@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gridyield.llm.queries_license import op2_license_scan
 from gridyield.llm.queries_language import op7_language_id
 from gridyield.llm.queries_ngram import op6_ngram_join
 from gridyield.llm.queries_suffix import op10_suffix_dedup
@@ -11,6 +12,7 @@ from gridyield.llm.queries_vectors import op1_embedding_dedup, op4_nearest_neigh
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_license_scan": op2_license_scan,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op6_ngram_join": op6_ngram_join,
     "op8_token_files": op8_token_files,
