@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 
 from gridyield.llm.common import shuffle_partitions, text_bytes, written
 from gridyield.llm.components import connected
-from gridyield.llm.shingles import mix, shingle_sets
+from gridyield.llm.shingles import STEP, mix, shingle_sets
 
 BAND = 1.5  # ratio of the sizes at the ends of a band
+SEEDS = 40  # sketches of a set at most; in the last one empty lanes are joined as well
 BATCH_BYTES = 4 << 20  # text that is hashed at a time
 FLUSH = 1 << 20  # lane entries a task holds before it sends them
 CLUSTER = 2048  # sets of a cluster that are verified in one task
@@ -42,18 +43,28 @@ def band_starts(limit: int) -> np.ndarray:
     return np.array(starts, np.int64)
 
 
-def lanes(starts: np.ndarray, percent: int) -> np.ndarray:
-    """Lanes of each band: one more than the largest symmetric difference of a linked pair whose smaller set lies in it.
+def most_different(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Largest symmetric difference of linked sets of sizes a and b.
 
-    100 * shared >= percent * union gives difference * (100 + percent) <= (100 - percent) * (a + b), and b is
-    at most 100 * a / percent.
+    100 * shared >= percent * union gives difference * (100 + percent) <= (100 - percent) * (a + b).
     """
+    return (100 - percent) * (a + b) // (100 + percent)
+
+
+def lanes(starts: np.ndarray, percent: int) -> np.ndarray:
+    """Lanes of each band: more than the largest symmetric difference of linked sets whose smaller one lies in it, and an eighth to spare."""
     a = starts[1:] - 1
-    return (100 - percent) * (a + 100 * a // percent) // (100 + percent) + 1
+    most = most_different(a, 100 * a // percent, percent)
+    return most + 2 + most // 8
 
 
 def sketch_keys(value: np.ndarray, borders: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, owners): the 64-bit join keys of all lanes of all sketches of the sets, and the set of each key."""
+    """(keys, owners): the 64-bit join keys of all lanes of all sketches of the sets, and the set of each key.
+
+    Empty lanes say nothing and are not joined. A set that has more filled lanes than a partner can differ in is
+    safe: one of its filled lanes is the same in the partner. A set that is not safe is sketched again with the next
+    seed, until it is; both sets of a pair have the sketch in which the first of them is safe.
+    """
     size = np.diff(borders)
     if not len(value):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -62,24 +73,33 @@ def sketch_keys(value: np.ndarray, borders: np.ndarray, percent: int) -> tuple[n
     own = np.searchsorted(starts, size, "right") - 1
     lowest = np.searchsorted(starts, -(-size * percent // 100), "right") - 1
     bit = np.uint64(1) << (mix(value ^ np.uint64(0xA5A5)) & np.uint64(63))
-    spread = mix(value ^ np.uint64(0x5A5A)) >> np.uint64(32)
     owner_of = np.repeat(np.arange(len(size)), size)
     keys, owners = [], []
     for down in range(int((own - lowest)[size > 0].max()) + 1):
         band = own - down
         takes = (size > 0) & (band >= lowest)
-        width = np.where(takes, number[np.maximum(band, 0)], 0)
-        base = np.concatenate([[0], np.cumsum(width)])
-        rows = np.flatnonzero(takes[owner_of])
-        of = owner_of[rows]
-        lane = ((spread[rows] * width[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        parity, check = np.zeros(base[-1], np.uint64), np.zeros(base[-1], np.uint64)
-        np.bitwise_xor.at(parity, base[of] + lane, bit[rows])
-        np.bitwise_xor.at(check, base[of] + lane, value[rows])
-        owner = np.repeat(np.arange(len(size)), width)
-        place = (np.arange(base[-1]) - base[owner]).astype(np.uint64) + (band[owner].astype(np.uint64) << np.uint64(32))
-        keys.append(mix(mix(mix(place) + parity) + check))
-        owners.append(owner)
+        partner = 100 * size // percent if down == 0 else np.minimum(starts[np.maximum(band, 0) + 1] - 1, size)
+        differ = most_different(size, partner, percent)
+        for seed in range(SEEDS):
+            width = np.where(takes, number[np.maximum(band, 0)], 0)
+            base = np.concatenate([[0], np.cumsum(width)])
+            rows = np.flatnonzero(takes[owner_of])
+            of = owner_of[rows]
+            spread = mix(value[rows] + np.uint64(seed) * STEP) >> np.uint64(32)
+            lane = base[of] + ((spread * width[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+            parity, check = np.zeros(base[-1], np.uint64), np.zeros(base[-1], np.uint64)
+            np.bitwise_xor.at(parity, lane, bit[rows])
+            np.bitwise_xor.at(check, lane, value[rows])
+            filled = np.bincount(lane, minlength=base[-1]) > 0
+            owner = np.repeat(np.arange(len(size)), width)
+            unsafe = takes & (np.bincount(owner[filled], minlength=len(size)) <= differ)
+            shown = filled | unsafe[owner] if seed == SEEDS - 1 else filled
+            place = np.arange(base[-1]) - base[owner] + (band[owner] << 32) + (seed << 48)
+            keys.append(mix(mix(mix(place[shown].astype(np.uint64)) + parity[shown]) + check[shown]))
+            owners.append(owner[shown])
+            takes = unsafe
+            if not takes.any():
+                break
     return np.concatenate(keys), np.concatenate(owners)
 
 
