@@ -5,6 +5,7 @@ from __future__ import annotations
 from gridyield.llm.queries_license import op2_license_scan
 from gridyield.llm.queries_language import op7_language_id
 from gridyield.llm.queries_ngram import op6_ngram_join
+from gridyield.llm.queries_pieces import op3_sentence_pieces
 from gridyield.llm.queries_suffix import op10_suffix_dedup
 from gridyield.llm.queries_tokens import op8_token_files, op9_best_fit_packing
 from gridyield.llm.queries_url import OP5_SQL, op5_url_filter
@@ -13,6 +14,7 @@ from gridyield.llm.queries_vectors import op1_embedding_dedup, op4_nearest_neigh
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_license_scan": op2_license_scan,
+    "op3_sentence_pieces": op3_sentence_pieces,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op6_ngram_join": op6_ngram_join,
     "op8_token_files": op8_token_files,

@@ -233,10 +233,11 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the shuffle; further columns as they are."""
     squeeze = zstandard.ZstdCompressor(level=1)
     for batch in batches:
-        packed = [squeeze.compress(text_bytes(t)) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["id", "h", "packed"])
+        packed = pa.array([squeeze.compress(text_bytes(t)) for t in batch.column(2).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], packed, *batch.columns[3:]], names=["id", "h", "packed", *batch.schema.names[3:]])
 
 
 def _sorted_stretches(wanted: DataFrame, length: int, groups: int, part: int) -> DataFrame:
@@ -351,31 +352,37 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def removed_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, part: int = PART
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, part: int = PART, others: list[str] | None = None
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes): one row for every row of ``docs``.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept and the columns ``others``: one row for every row of ``docs``.
 
-    Null and empty texts have no bytes. Places in one text count like places in different ones; texts of copies
-    and repeated rows go as a whole if they have ``length`` bytes. Other columns of ``docs`` are not read.
+    ``kept`` is the text of the bytes that stay, without characters that a removal cuts in two; the hash is that of all
+    bytes that stay. Null and empty texts have no bytes. Places in one text count like places in different ones; texts
+    of copies and repeated rows go as a whole if they have ``length`` bytes.
     """
-    keyed = _keyed(docs, doc_id, text)
     spans = written(repeated_spans(docs, doc_id, text, length, gram, part=part), "spans")
-    texts = keyed.mapInArrow(_packed, "id bigint, h bigint, packed binary").join(spans, ["id", "h"], "left")
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+    carried = F.struct(*(F.col(c) for c in others)) if others else F.lit(None).cast("int")
+    rows = docs.select(_key(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"), carried.alias("others"))
+    kind = rows.schema["others"].dataType.simpleString()
+    packed = rows.mapInArrow(_packed, f"id bigint, h bigint, packed binary, others {kind}")
+    texts = packed.join(spans, ["id", "h"], "left").select("id", "packed", "others", "spans")
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
-        for batch in batches:
-            rows = []
-            for i, packed, found in zip(*(batch.column(c).to_pylist() for c in ("id", "packed", "spans"))):
-                data, at, kept = open_.decompress(packed), 0, []
-                runs = merged(found)
-                for a, b in runs:
-                    kept.append(data[at:a])
-                    at = b
-                rest = b"".join([*kept, data[at:]])
-                rows.append((None if i == NO_ID else i, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-
-    return texts.mapInArrow(remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+        for whole in batches:
+            for k in range(0, len(whole), 1000):
+                batch, out = whole.slice(k, 1000), []
+                for i, body, found in zip(*(batch.column(c).to_pylist() for c in ("id", "packed", "spans"))):
+                    data, at, kept = open_.decompress(body), 0, []
+                    runs = merged(found)
+                    for a, b in runs:
+                        kept.append(data[at:a])
+                        at = b
+                    rest = b"".join([*kept, data[at:]])
+                    out.append((None if i == NO_ID else i, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), schema.types)]
+                yield pa.RecordBatch.from_arrays([*columns, batch.column("others")], names=[*schema.names, "others"])
+
+    done = texts.mapInArrow(remove, f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string, others {kind}")
+    return done.select(*schema.names, *([F.col("others")[c].alias(c) for c in others] if others else []))
