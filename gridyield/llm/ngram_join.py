@@ -9,7 +9,9 @@ that, two linked sets agree in a lane (pigeonhole), and lanes are joined by equa
 depends on sizes, so there is one sketch per band of sizes; a set is sketched for its own band, and for
 the bands below in which a smaller partner may lie.
 
-Sets that meet make candidate clusters. Within a cluster every pair is verified on whole sets, so no link is
+Sets that meet in a lane are compared by 64 min-hashes of eight bits first. Linked sets agree in 80 per cent of
+them on average; pairs that agree in fewer than AGREE are dropped, which a linked pair suffers with a probability
+below 1e-11. This keeps sets that share a passage only apart. What is left makes candidate clusters. Within a cluster every pair is verified on whole sets, so no link is
 lost; what a cluster gives back is one link per set, never its pairs.
 """
 
@@ -32,6 +34,8 @@ BAND = 1.5  # ratio of the sizes at the ends of a band
 SEEDS = 40  # sketches of a set at most; in the last one empty lanes are joined as well
 BATCH_BYTES = 4 << 20  # text that is hashed at a time
 FLUSH = 1 << 20  # lane entries a task holds before it sends them
+HASHES = 64
+AGREE = 27
 CLUSTER = 2048  # sets of a cluster that are verified in one task
 
 
@@ -133,24 +137,41 @@ def _sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
 def shingle_counts(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
     """doc_id, n_shingles the 128-bit name of the set and its number (null for an empty set), one row per row."""
 
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.binary()), ("number", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.binary()), ("number", pa.int64()), ("signature", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(map(_size_and_name, _sets([text_bytes(t) for t in batch.column(1).to_pylist()], words)))
-            columns = [[s[0] for s in sets], [s[1] for s in sets], [s[1] and _number(s[1]) for s in sets]]
+            sizes, names, signs = [], [], []
+            texts = [text_bytes(t) for t in batch.column(1).to_pylist()]
+            for a, b in _grouped(texts):
+                value, borders = shingle_sets(texts[a:b], words)
+                sizes += np.diff(borders).tolist()
+                names += [_set_name(value[x:y]) if y > x else None for x, y in zip(borders[:-1], borders[1:])]
+                signs += min_hashes(value, borders)
+            columns = [sizes, names, [n and _number(n) for n in names], signs]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, schema.types[1:]))], schema=schema)
 
     pairs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return pairs.mapInArrow(count, "doc_id bigint, n_shingles bigint, name binary, number bigint")
+    return pairs.mapInArrow(count, "doc_id bigint, n_shingles bigint, name binary, number bigint, signature binary")
 
 
-def _size_and_name(value: np.ndarray) -> tuple[int, bytes | None]:
-    return len(value), _set_name(value) if len(value) else None
+def min_hashes(value: np.ndarray, borders: np.ndarray) -> list[bytes | None]:
+    """HASHES bytes for each set, null for an empty one."""
+    size = np.diff(borders)
+    filled = np.flatnonzero(size)
+    out = np.zeros((len(filled), HASHES), np.uint8)
+    if len(filled):
+        factor = mix(np.arange(1, HASHES + 1).astype(np.uint64) * STEP) | np.uint64(1)
+        for k in range(HASHES):
+            out[:, k] = mix(np.minimum.reduceat(value * factor[k], borders[filled])) >> np.uint64(56)
+    rows: list[bytes | None] = [None] * len(size)
+    for i, row in zip(filled.tolist(), out):
+        rows[i] = row.tobytes()
+    return rows
 
 
 def _met(docs: DataFrame, text: str, words: int, percent: int, slots: int) -> DataFrame:
-    """Links (a, b) between set numbers that share a lane, one star per lane.
+    """(lane, number): the sets of every lane that holds two different sets or more. Lanes with the same sets are one.
 
     A set is numbered by 64 bits of its name. Copies are sketched once per task. Entries travel as packed
     arrays of (key, set), one row per slot of the key space and flush; a slot holds about
@@ -200,14 +221,65 @@ def _met(docs: DataFrame, text: str, words: int, percent: int, slots: int) -> Da
         order = np.lexsort((who, key))
         key, who = key[order], who[order]
         if not len(key):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+            return pa.table({"lane": pa.array([], pa.int64()), "number": pa.array([], pa.int64())})
         opens = np.concatenate([[True], key[1:] != key[:-1]])
-        hub = who[np.maximum.accumulate(np.where(opens, np.arange(len(key)), 0))]
-        pairs = np.unique(np.stack([hub, who], 1)[hub != who], axis=0).view(np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
+        new = opens | np.concatenate([[True], who[1:] != who[:-1]])
+        key, who = key[new], who[new]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(first, len(key)))
+        # The sets of a lane, in ascending order, name it.
+        lane = np.repeat(mix(np.add.reduceat(mix(who), first) + size.astype(np.uint64)), size)
+        several = np.repeat(size > 1, size)
+        pairs = np.unique(np.stack([lane[several], who[several]], 1), axis=0).view(np.int64)
+        return pa.table({"lane": pa.array(pairs[:, 0].copy()), "number": pa.array(pairs[:, 1].copy())})
 
     entries = docs.select(F.col(text).alias("text")).mapInArrow(sketch, "slot int, entries binary")
-    return entries.groupBy("slot").applyInArrow(meet, "a bigint, b bigint").distinct()
+    return entries.groupBy("slot").applyInArrow(meet, "lane bigint, number bigint").distinct()
+
+
+def alike(signature: np.ndarray) -> list[tuple[int, int]]:
+    """Links (i, j) that join all rows reachable by pairs of signatures that agree in AGREE bytes or more.
+
+    The first row not joined yet is compared with all rows, so a lane of alike sets takes one comparison per set.
+    """
+    n = len(signature)
+    if n == 2:
+        return [(0, 1)] if (signature[0] == signature[1]).sum() >= AGREE else []
+    root, links = np.arange(n), []
+    for i in range(n):
+        if i and root[i] == root[0] and (root == root[0]).all():
+            break
+        if root[i] != i and not (root != root[i]).any():
+            continue
+        near = np.flatnonzero((signature == signature[i]).sum(1) >= AGREE)
+        near = near[root[near] != root[i]]
+        groups, one = np.unique(root[near], return_index=True)
+        links += [(i, int(j)) for j in near[one]]
+        root[np.isin(root, groups)] = root[i]
+    return links
+
+
+def _candidates(met: DataFrame, signatures: DataFrame, slots: int) -> DataFrame:
+    """Links (a, b) of sets that share a lane and are alike."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        lane, number = (table.column(c).to_numpy() for c in ("lane", "number"))
+        sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
+        order = np.lexsort((number, lane))
+        lane, number, sign = lane[order], number[order], sign[order]
+        first = np.flatnonzero(np.concatenate([[True], lane[1:] != lane[:-1]]))
+        size = np.diff(np.append(first, len(lane)))
+        two = first[size == 2]
+        two = two[(sign[two] == sign[two + 1]).sum(1) >= AGREE]
+        a, b = [number[two]], [number[two + 1]]
+        for start, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
+            found = alike(sign[start:start + n])
+            a.append(number[start + np.array([i for i, _ in found], np.int64)])
+            b.append(number[start + np.array([j for _, j in found], np.int64)])
+        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+
+    rows = met.join(signatures, "number").select(F.pmod("lane", F.lit(slots)).cast("int").alias("slot"), "lane", "number", "signature")
+    return rows.groupBy("slot").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def verify_sets(sets: list[np.ndarray], numbers: np.ndarray, percent: int, split: int | None = None) -> np.ndarray:
@@ -304,6 +376,8 @@ def link_documents(
     slots = 2 * shuffle_partitions(spark)
     counts = written(shingle_counts(docs, doc_id, text, words), "shingle-counts")
     met = written(_met(docs.where(F.col(doc_id).isNotNull()), text, words, percent, slots), "lanes-met")
+    signatures = counts.where("number is not null").groupBy("number").agg(F.min("signature").alias("signature"))
+    met = written(_candidates(met, signatures, slots), "candidates")
     classes = counts.where("name is not null").groupBy("name", "number").agg(F.min("doc_id").alias("least"))
     clusters = written(connected(met), "clusters")
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n_members"))
