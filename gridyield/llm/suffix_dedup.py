@@ -31,8 +31,8 @@ from gridyield.llm.shingles import mix, prefix_hashes, span_hash
 LENGTH = 400
 GRAM = 160
 SLICE = 2 << 20  # bytes that are searched for anchors at a time
-STRETCHES = 1500  # stretches sorted together
-PART = 6000  # most stretches of one gram in one task
+STRETCHES = 3000  # stretches sorted together
+PART = 3000  # most stretches of one gram or one first text that are sorted together
 NO_ID = -(2**63)
 
 
@@ -109,13 +109,13 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     """
     n = len(data)
     step = np.sign(np.append(data[1:].astype(np.int16), -1) - data.astype(np.int16))
-    known = np.where(step != 0, np.arange(n), n)
+    known = np.where(step != 0, np.arange(n, dtype=np.int32), np.int32(n))
     follows = np.minimum.accumulate(known[::-1])[::-1]  # the next place where neighbours differ
     smaller = step[np.minimum(follows, n - 1)] > 0
     raw = data.tobytes()
-    rank = np.full(n + 1, -1, np.int64)  # the empty suffix comes first
-    order, placed = np.empty(n, np.int64), 0
-    by_byte = np.argsort(data, kind="stable")
+    rank = np.full(n + 1, -1, np.int32)  # the empty suffix comes first
+    order, placed = np.empty(n, np.int32), 0
+    by_byte = np.argsort(data, kind="stable").astype(np.int32)
     borders = np.searchsorted(data[by_byte], np.arange(257))
     after = np.append(data[1:].astype(np.int16), -1)
     for c in range(256):
@@ -136,10 +136,14 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
             put(level)
             level = level[level > 0] - 1
             level = level[data[level] == c]
-        direct = members[smaller[members]].tolist()
-        if direct:
-            keys = [raw[i:i + depth] for i in direct]
-            put(np.array(direct)[sorted(range(len(direct)), key=keys.__getitem__)])
+        direct = members[smaller[members]]
+        # By the second byte first, so that few strings are held at a time.
+        direct = direct[np.argsort(after[direct], kind="stable")]
+        for some in np.split(direct, np.flatnonzero(np.diff(after[direct])) + 1):
+            if len(some):
+                starts = some.tolist()
+                keys = [raw[i:i + depth] for i in starts]
+                put(some[sorted(range(len(starts)), key=keys.__getitem__)])
     return order
 
 
@@ -162,27 +166,20 @@ def common_prefixes(data: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -
     return out
 
 
-def repeated_starts(stretches: list[bytes], names: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of equal strings of ``length`` bytes among the stretches.
-
-    Returns (starts, run, repeated): all starts of such strings in the concatenation, in suffix order, the number of
-    the run each belongs to, and whether the run holds two different names; names[i] says which place in which text
-    byte i of the concatenation is, so a place that two stretches share does not count as two.
+def repeated_starts(stretches: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, run): all starts of strings of ``length`` bytes in the concatenation of the stretches, in suffix order,
+    and the number of the run of equal strings each belongs to. Strings do not cross the stretches.
     """
     data = np.frombuffer(b"".join(stretches), np.uint8)
     sizes = np.array([len(s) for s in stretches])
-    ends = np.repeat(np.cumsum(sizes), sizes)
+    room = np.repeat(np.cumsum(sizes).astype(np.int32), sizes)
+    room -= np.arange(len(data), dtype=np.int32)
     order = suffix_order(data, length)
-    order = order[order + length <= ends[order]]
+    order = order[room[order] >= length]
     if not len(order):
-        return order, order, np.zeros(0, bool)
+        return order, order
     prefix = common_prefixes(data, order[:-1], order[1:], length)
-    opens = np.concatenate([[True], prefix < length])
-    run = np.cumsum(opens) - 1
-    borders = np.flatnonzero(opens)
-    name = names[order]
-    differ = np.minimum.reduceat(name, borders) != np.maximum.reduceat(name, borders)
-    return order, run, differ[run]
+    return order, np.cumsum(np.concatenate([[True], prefix < length]), dtype=np.int32) - 1
 
 
 # Spark
@@ -240,57 +237,89 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], packed, *batch.columns[3:]], names=["id", "h", "packed", *batch.schema.names[3:]])
 
 
-def _sorted_stretches(wanted: DataFrame, length: int, groups: int, part: int) -> DataFrame:
-    """id, h, start, end of repeated strings, and rows with a name for strings that other parts may hold.
+CUTS = "g bigint, p int, open boolean, id bigint, h bigint, start bigint, sure array<bigint>, stretch binary"
+CUT_SCHEMA = pa.schema([
+    ("g", pa.int64()), ("p", pa.int32()), ("open", pa.bool_()), ("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("sure", pa.list_(pa.int64())), ("stretch", pa.binary()),
+])
+
 
-    ``wanted``: id, h, start, end, gram, name, n, m, stretch.
+def _cut(length: int):
+    """Stretches of each text; those of one group that overlap are one, as long as the group is not a part of a gram.
+
+    ``sure``: pairs of numbers, the starts from and before which strings are known to be repeated.
     """
-    parts = F.ceil(F.col("m") / F.lit(part)).cast("int")
-    group = F.when(parts == 1, F.pmod(F.xxhash64("gram"), F.lit(groups)))
-    piece = F.pmod(F.xxhash64("name"), parts)
-    keyed = wanted.select(
-        "id", "h", "start", "n", (parts > 1).alias("open"), "stretch",
-        F.coalesce(group, F.col("gram")).alias("g"), F.when(parts == 1, F.lit(-1)).otherwise(piece).alias("p"),
-    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor()
+        for whole in batches:
+            for k in range(0, len(whole), 200):
+                rows = []
+                for i, h, packed, cuts in zip(*(whole.slice(k, 200).column(c).to_pylist() for c in ("id", "h", "packed", "cuts"))):
+                    data = open_.decompress(packed)
+                    runs: list[dict] = []
+                    for c in sorted(cuts, key=lambda c: (c["g"], c["p"], c["start"])):
+                        sure = [c["start"], c["end"] - length + 1] if c["n"] > 1 else []
+                        last = runs[-1] if runs else None
+                        if last and not c["open"] and (last["g"], last["p"]) == (c["g"], c["p"]) and c["start"] <= last["end"]:
+                            last["end"] = max(last["end"], c["end"])
+                            last["sure"] += sure
+                        else:
+                            runs.append({"g": c["g"], "p": c["p"], "open": c["open"], "id": i, "h": h, "start": c["start"], "end": c["end"], "sure": sure})
+                    rows += [{**r, "stretch": data[r["start"]:r.pop("end")]} for r in runs]
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, CUT_SCHEMA)
+
+    return cut
+
+
+def _sort(length: int):
     schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("name", pa.binary()), ("sure", pa.bool_())])
 
     def sort(table: pa.Table) -> pa.Table:
-        stretches = table.column("stretch").to_pylist()
-        ids, h, start, n = (table.column(c).to_numpy() for c in ("id", "h", "start", "n"))
+        # A stretch of rows that are equal as a whole comes more than once.
+        ids, h, start = (table.column(c).to_numpy() for c in ("id", "h", "start"))
+        _, one = np.unique(np.stack([ids, h, start], 1), axis=0, return_index=True)
+        ids, h, start = ids[one], h[one], start[one]
+        found = table.select(["stretch", "sure", "open"]).take(pa.array(one))
+        stretches, sure = found.column("stretch").to_pylist(), found.column("sure").to_pylist()
         sizes = np.array([len(s) for s in stretches])
         offset = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        of = np.repeat(np.arange(len(stretches)), sizes)
-        place = np.arange(len(of)) - offset[of] + start[of]
-        # One number per place: texts are numbered, and places are their offsets in them.
-        _, doc = np.unique(np.stack([ids, h], 1), axis=0, return_inverse=True)
-        base = int(place.max()) + 1
-        names = doc.ravel()[of] * base + place
-        order, run, repeated = repeated_starts(stretches, names, length)
+        order, run = repeated_starts(stretches, length)
         runs = int(run[-1]) + 1 if len(run) else 0
-        known = np.zeros(runs, bool)
-        np.logical_or.at(known, run, repeated | (n[of[order]] > 1))
-        hit = order[known[run] & (n[of[order]] == 1)]
-        hit = np.sort(hit)
-        # Neighbouring starts make one span.
+        marked = np.zeros(int(sizes.sum()), bool)
+        for at, pairs, first in zip(offset.tolist(), sure, start.tolist()):
+            for a, b in zip(pairs[::2], pairs[1::2]):
+                marked[at + a - first:at + b - first] = True
+        known = (np.bincount(run, minlength=runs) > 1) | (np.bincount(run, weights=marked[order], minlength=runs) > 0)
+        if found.column("open")[0].as_py():
+            # Stretches of one gram may overlap in a text, and a place is no repetition of itself.
+            of = np.searchsorted(offset, order, "right") - 1
+            place = order - offset[of] + start[of]
+            _, doc = np.unique(np.stack([ids, h], 1), axis=0, return_inverse=True)
+            name = doc.ravel()[of].astype(np.int64) * (int(place.max(initial=0)) + 1) + place
+            border = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if runs else np.zeros(0, np.int64)
+            if runs:
+                known &= (np.minimum.reduceat(name, border) != np.maximum.reduceat(name, border)) | (np.bincount(run, weights=marked[order], minlength=runs) > 0)
+        hit = np.sort(order[known[run] & ~marked[order]])
         out = []
-        if len(hit):
-            breaks = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (of[hit[1:]] != of[hit[:-1]])])
-            first = hit[breaks]
-            last = hit[np.concatenate([np.flatnonzero(breaks)[1:] - 1, [len(hit) - 1]])]
-            out.append((ids[of[first]], h[of[first]], place[first], place[last] + length, [None] * len(first), np.ones(len(first), bool)))
-        if table.column("open")[0].as_py() and runs:
-            data = b"".join(stretches)
-            lead = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-            # A run gives one row; if it is single so far, the row names its place.
-            at = order[lead]
-            named = [xxhash.xxh3_128_digest(data[i:i + length]) for i in at.tolist()]
-            out.append((ids[of[at]], h[of[at]], place[at], place[at] + length, named, known))
+        if len(hit):  # neighbouring starts make one span
+            of = np.searchsorted(offset, hit, "right") - 1
+            breaks = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (of[1:] != of[:-1])])
+            first, last = np.flatnonzero(breaks), np.append(np.flatnonzero(breaks)[1:] - 1, len(hit) - 1)
+            base = start[of[first]] - offset[of[first]]
+            out.append((ids[of[first]], h[of[first]], hit[first] + base, hit[last] + base + length, [None] * len(first), np.ones(len(first), bool)))
+        if runs and found.column("open")[0].as_py():
+            # Each run gives one row for the other parts; if it is single so far, the row says where it is.
+            data, lead = b"".join(stretches), order[border]
+            of = np.searchsorted(offset, lead, "right") - 1
+            at = lead - offset[of] + start[of]
+            out.append((ids[of], h[of], at, at + length, [xxhash.xxh3_128_digest(data[i:i + length]) for i in lead.tolist()], known))
         columns = [np.concatenate([np.asarray(o[k]) for o in out]) if out else [] for k in (0, 1, 2, 3)]
-        names_ = [x for o in out for x in o[4]]
-        sure = np.concatenate([o[5] for o in out]) if out else []
-        return pa.table([pa.array(c, t) for c, t in zip([*columns, names_, sure], schema.types)], schema=schema)
+        names = [x for o in out for x in o[4]]
+        flags = np.concatenate([o[5] for o in out]) if out else []
+        return pa.table([pa.array(c, t) for c, t in zip([*columns, names, flags], schema.types)], schema=schema)
 
-    return keyed.groupBy("g", "p").applyInArrow(sort, "id bigint, h bigint, start bigint, end bigint, name binary, sure boolean")
+    return sort
 
 
 def repeated_spans(
@@ -308,28 +337,25 @@ def repeated_spans(
     # Counts combine before they are sent, so a passage that very many texts share is no large group.
     distinct = found.groupBy("gram", "name").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "start", "end")).alias("one"))
     distinct = written(distinct, "stretches")
-    grams = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    # A name that occurs twice stands for a repeated stretch.
     whole = found.join(distinct.where("n > 1").select("name"), "name").select("id", "h", "start", "end")
-    wanted = distinct.join(grams, "gram").select("one.*", "gram", "name", "n", "m")
-    per_text = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("start", "end", "gram", "name", "n", "m")).alias("cuts"))
+    # Grams are sorted together where the first text that has them is the same, because the stretches of near copies
+    # around neighbouring anchors overlap. A text that brings together too many is left out of this.
+    grams = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("one.id", "one.h")).alias("hub")).where("m > 1")
+    grams = written(grams, "grams")
+    hubs = grams.groupBy("hub").agg(F.sum("m").alias("total"))
+    total = hubs.agg(F.sum("total")).first()[0] or 0
+    groups = max(1, -(-total // stretches))
+    parts = F.ceil(F.col("m") / F.lit(part)).cast("int")
+    near = F.pmod(F.when(F.col("total") > part, F.xxhash64("gram")).otherwise(F.xxhash64("hub.id", "hub.h")), F.lit(groups))
+    grams = grams.join(hubs, "hub").select("gram", parts.alias("parts"), F.when(parts > 1, F.col("gram")).otherwise(near).alias("g"))
+    piece = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("name"), F.col("parts"))).otherwise(F.lit(-1)).cast("int")
+    wanted = distinct.join(grams, "gram").select("one.*", "n", "g", piece.alias("p"), (F.col("parts") > 1).alias("open"))
+    per_text = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("g", "p", "open", "start", "end", "n")).alias("cuts"))
     texts = keyed.mapInArrow(_packed, "id bigint, h bigint, packed binary").join(per_text, ["id", "h"])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_ = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for i, h, packed, cuts in zip(*(batch.column(c).to_pylist() for c in ("id", "h", "packed", "cuts"))):
-                data = open_.decompress(packed)
-                rows = [{**c, "id": i, "h": h, "stretch": data[c["start"]:c["end"]]} for c in cuts]
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
-    schema = pa.schema([
-        ("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("gram", pa.int64()), ("name", pa.binary()), ("n", pa.int64()), ("m", pa.int64()), ("stretch", pa.binary()),
-    ])
-    kind = "id bigint, h bigint, start bigint, end bigint, gram bigint, name binary, n bigint, m bigint, stretch binary"
-    # Rows that repeat as a whole give their stretches more than once; a name is needed once.
-    stretched = texts.mapInArrow(cut, kind)
-    groups = max(1, -(-wanted.count() // stretches))
-    sorted_ = written(_sorted_stretches(stretched, length, groups, part), "sorted")
+    stretched = texts.mapInArrow(_cut(length), CUTS)
+    sorted_ = stretched.groupBy("g", "p").applyInArrow(_sort(length), "id bigint, h bigint, start bigint, end bigint, name binary, sure boolean")
+    sorted_ = written(sorted_, "sorted")
     sure = sorted_.where("sure and name is null").select("id", "h", "start", "end")
     open_ = sorted_.where("name is not null")
     place = F.struct("id", "h", "start")  # a place may lie in stretches of two anchors
