@@ -89,7 +89,7 @@ def sketch_keys(value: np.ndarray, borders: np.ndarray, percent: int) -> tuple[n
             base = np.concatenate([[0], np.cumsum(width)])
             rows = np.flatnonzero(takes[owner_of])
             of = owner_of[rows]
-            spread = mix(value[rows] + np.uint64(seed) * STEP) >> np.uint64(32)
+            spread = mix(value[rows] + np.uint64(seed * int(STEP) % 2**64)) >> np.uint64(32)
             lane = base[of] + ((spread * width[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
             parity, check = np.zeros(base[-1], np.uint64), np.zeros(base[-1], np.uint64)
             np.bitwise_xor.at(parity, lane, bit[rows])
