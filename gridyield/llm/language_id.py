@@ -21,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-SLICE = 1 << 20  # characters that are counted at a time
-CELLS = 1 << 22  # largest table of counts, texts times trigrams
+SLICE = 1 << 19  # characters that are counted at a time
+ROWS = 500  # texts in work at a time
+CELLS = 1 << 21  # largest table of counts, texts times trigrams
 BLANK = 32
 _letters: np.ndarray | None = None
 
@@ -153,7 +154,9 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int = 1
                 names.setdefault(name, len(names))
             if len(names) > len(total):
                 total = np.vstack([total, np.zeros((len(names) - len(total), dims))])
-            total += bundle_texts(space, batch["text"].tolist(), batch["lang"].map(names).to_numpy(), len(names))
+            for k in range(0, len(batch), ROWS):
+                some = batch.iloc[k:k + ROWS]
+                total += bundle_texts(space, some["text"].tolist(), some["lang"].map(names).to_numpy(), len(names))
         if names:
             yield pd.DataFrame({"lang": list(names), "v": list(np.rint(total).astype(np.int64))})
 
@@ -182,14 +185,15 @@ def predicted(profiles: Profiles, text: str = "text") -> Column:
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         space = Space(vectors.shape[1], seed)
         for batch in batches:
-            sums = bundle_texts(space, batch.tolist(), np.arange(len(batch)), len(batch))
-            length = np.linalg.norm(sums, axis=1)
             names, scores = np.full(len(batch), UNKNOWN, object), np.zeros(len(batch))
-            if languages and len(batch):
+            for k in range(0, len(batch) if languages else 0, ROWS):
+                texts = batch.iloc[k:k + ROWS].tolist()
+                sums = bundle_texts(space, texts, np.arange(len(texts)), len(texts))
+                length = np.linalg.norm(sums, axis=1)
                 cosine = sums @ vectors.T / np.where(length > 0, length, 1.0)[:, None]
                 best = cosine.argmax(1)
-                names = np.where(length > 0, np.array(languages, object)[best], UNKNOWN)
-                scores = np.where(length > 0, np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0), 0.0)
+                names[k:k + ROWS] = np.where(length > 0, np.array(languages, object)[best], UNKNOWN)
+                scores[k:k + ROWS] = np.where(length > 0, np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0), 0.0)
             yield pd.DataFrame({"lang": names, "score": scores})
 
     from pyspark.sql.pandas.functions import pandas_udf

@@ -26,13 +26,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridyield.llm.common import shuffle_partitions, text_bytes, written
+from gridyield.llm.common import shuffle_partitions, small, text_bytes, written
 from gridyield.llm.components import connected
 from gridyield.llm.shingles import STEP, mix, shingle_sets
 
 BAND = 1.5  # ratio of the sizes at the ends of a band
 SEEDS = 40  # sketches of a set at most; in the last one empty lanes are joined as well
-BATCH_BYTES = 4 << 20  # text that is hashed at a time
+BATCH_BYTES = 1 << 20  # text that is hashed at a time
 FLUSH = 1 << 20  # lane entries a task holds before it sends them
 HASHES = 64
 AGREE = 27
@@ -140,7 +140,7 @@ def shingle_counts(docs: DataFrame, doc_id: str, text: str, words: int) -> DataF
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.binary()), ("number", pa.int64()), ("signature", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             sizes, names, signs = [], [], []
             texts = [text_bytes(t) for t in batch.column(1).to_pylist()]
             for a, b in _grouped(texts):
@@ -196,7 +196,7 @@ def _met(docs: DataFrame, text: str, words: int, percent: int, slots: int) -> Da
                 [pa.array(used.astype(np.int32)), pa.array([entry[border[s]:border[s + 1]].tobytes() for s in used], pa.binary())], names=["slot", "entries"]
             )
 
-        for batch in batches:
+        for batch in small(batches):
             texts = [text_bytes(t) for t in batch.column(0).to_pylist()]
             for a, b in _grouped(texts):
                 value, borders = shingle_sets(texts[a:b], words)
@@ -357,7 +357,7 @@ def _verified(members: DataFrame, words: int, percent: int, block: int) -> DataF
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compressed texts, for the way through the shuffle."""
     squeeze = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in small(batches):
         packed = [squeeze.compress(text_bytes(t)) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["least", "packed"])
 

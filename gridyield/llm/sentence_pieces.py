@@ -24,6 +24,7 @@ from gridyield.llm.common import shuffle_partitions, text_bytes, written
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
+LONG = 32  # characters of a word whose merges are folded; longer ones go to the library, whose heap does not take cubic time
 NO_ID = -(2**63)
 
 
@@ -106,10 +107,25 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["g", "id", "packed"])
 
 
+def _by_library(model: str):
+    """Encodes marked words with the library."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import sentencepiece
+
+        own = sentencepiece.SentencePieceProcessor(model_file=model)
+        for batch in batches:
+            ids = [own.encode(w[1:]) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+
+    return rows
+
+
 def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", fold: str = "merges", longest: int = 16) -> DataFrame:
     """doc_id, ids, text_crc32: the piece ids of every text, one row per row; no ids for null and empty texts.
 
-    ``fold`` goes with the type of the model: ``merges`` or ``viterbi``. ``longest`` is the length of the longest piece in characters. Documents are dealt into groups by a hash of id
+    ``fold`` goes with the type of the model: ``merges`` or ``viterbi``. With ``merges``, words of more than LONG characters
+    are encoded by the library. ``longest`` is the length of the longest piece in characters. Documents are dealt into groups by a hash of id
     and text; each group receives its own distinct words with their ids, so no task holds the whole vocabulary.
     """
     import re
@@ -120,7 +136,13 @@ def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "tex
     key = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID))
     keyed = docs.select(F.pmod(F.xxhash64(key, F.col(text)), F.lit(groups)).cast("int").alias("g"), key.alias("id"), F.col(text).alias("text"))
     used = written(keyed.select("g", F.explode(marked_words(F.col("text"))).alias("word")).distinct(), "words-of-groups")
-    known = written(encode_words(used.select("word").distinct(), pieces, unknown, byte_zero, longest, fold), "word-pieces")
+    words = used.select("word").distinct()
+    if fold == "merges":
+        short = encode_words(words.where(F.length("word") <= LONG), pieces, unknown, byte_zero, longest, fold)
+        known = short.unionByName(words.where(F.length("word") > LONG).mapInArrow(_by_library(model), "word string, ids array<int>"))
+    else:
+        known = encode_words(words, pieces, unknown, byte_zero, longest, fold)
+    known = written(known, "word-pieces")
     wanted = used.join(known, "word").select("g", "word", "ids")
     split = re.compile(f"(?<=[^{MARK}])(?={MARK})")
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text_crc32", pa.int64())])

@@ -25,12 +25,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridyield.llm.common import text_bytes, written
+from gridyield.llm.common import small, text_bytes, written
 from gridyield.llm.shingles import mix, prefix_hashes, span_hash
 
 LENGTH = 400
 GRAM = 160
-SLICE = 2 << 20  # bytes that are searched for anchors at a time
+SLICE = 1 << 19  # bytes that are searched for anchors at a time
 STRETCHES = 3000  # stretches sorted together
 PART = 3000  # most stretches of one gram or one first text that are sorted together
 NO_ID = -(2**63)
@@ -199,7 +199,7 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("gram", pa.int64()), ("name", pa.binary())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             ids, h = (batch.column(k).to_numpy() for k in (0, 1))
             texts = [text_bytes(t) for t in batch.column(2).to_pylist()]
             for i, at, value in _text_anchors(texts, length, gram):
@@ -232,7 +232,7 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed for the shuffle; further columns as they are."""
     squeeze = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in small(batches):
         packed = pa.array([squeeze.compress(text_bytes(t)) for t in batch.column(2).to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], packed, *batch.columns[3:]], names=["id", "h", "packed", *batch.schema.names[3:]])
 
@@ -251,23 +251,22 @@ def _cut(length: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
-        for whole in batches:
-            for k in range(0, len(whole), 200):
-                rows = []
-                for i, h, packed, cuts in zip(*(whole.slice(k, 200).column(c).to_pylist() for c in ("id", "h", "packed", "cuts"))):
-                    data = open_.decompress(packed)
-                    runs: list[dict] = []
-                    for c in sorted(cuts, key=lambda c: (c["g"], c["p"], c["start"])):
-                        sure = [c["start"], c["end"] - length + 1] if c["n"] > 1 else []
-                        last = runs[-1] if runs else None
-                        if last and not c["open"] and (last["g"], last["p"]) == (c["g"], c["p"]) and c["start"] <= last["end"]:
-                            last["end"] = max(last["end"], c["end"])
-                            last["sure"] += sure
-                        else:
-                            runs.append({"g": c["g"], "p": c["p"], "open": c["open"], "id": i, "h": h, "start": c["start"], "end": c["end"], "sure": sure})
-                    rows += [{**r, "stretch": data[r["start"]:r.pop("end")]} for r in runs]
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, CUT_SCHEMA)
+        for batch in small(batches, 200):
+            rows = []
+            for i, h, packed, cuts in zip(*(batch.column(c).to_pylist() for c in ("id", "h", "packed", "cuts"))):
+                data = open_.decompress(packed)
+                runs: list[dict] = []
+                for c in sorted(cuts, key=lambda c: (c["g"], c["p"], c["start"])):
+                    sure = [c["start"], c["end"] - length + 1] if c["n"] > 1 else []
+                    last = runs[-1] if runs else None
+                    if last and not c["open"] and (last["g"], last["p"]) == (c["g"], c["p"]) and c["start"] <= last["end"]:
+                        last["end"] = max(last["end"], c["end"])
+                        last["sure"] += sure
+                    else:
+                        runs.append({"g": c["g"], "p": c["p"], "open": c["open"], "id": i, "h": h, "start": c["start"], "end": c["end"], "sure": sure})
+                rows += [{**r, "stretch": data[r["start"]:r.pop("end")]} for r in runs]
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, CUT_SCHEMA)
 
     return cut
 
@@ -396,19 +395,18 @@ def removed_repeats(
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
-        for whole in batches:
-            for k in range(0, len(whole), 1000):
-                batch, out = whole.slice(k, 1000), []
-                for i, body, found in zip(*(batch.column(c).to_pylist() for c in ("id", "packed", "spans"))):
-                    data, at, kept = open_.decompress(body), 0, []
-                    runs = merged(found)
-                    for a, b in runs:
-                        kept.append(data[at:a])
-                        at = b
-                    rest = b"".join([*kept, data[at:]])
-                    out.append((None if i == NO_ID else i, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), schema.types)]
-                yield pa.RecordBatch.from_arrays([*columns, batch.column("others")], names=[*schema.names, "others"])
+        for batch in small(batches):
+            out = []
+            for i, body, found in zip(*(batch.column(c).to_pylist() for c in ("id", "packed", "spans"))):
+                data, at, kept = open_.decompress(body), 0, []
+                runs = merged(found)
+                for a, b in runs:
+                    kept.append(data[at:a])
+                    at = b
+                rest = b"".join([*kept, data[at:]])
+                out.append((None if i == NO_ID else i, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
+            columns = [pa.array(c, t) for c, t in zip(zip(*out), schema.types)]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("others")], names=[*schema.names, "others"])
 
     done = texts.mapInArrow(remove, f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string, others {kind}")
     return done.select(*schema.names, *([F.col("others")[c].alias(c) for c in others] if others else []))
