@@ -32,7 +32,7 @@ LENGTH = 400
 GRAM = 160
 SLICE = 1 << 19  # bytes that are searched for anchors at a time
 STRETCHES = 3000  # stretches sorted together
-PART = 3000  # most stretches of one gram or one first text that are sorted together
+PART = 10_000  # most stretches of one gram or one first text that are sorted together
 NO_ID = -(2**63)
 
 
