@@ -17,7 +17,7 @@ from gridyield.plans import reanalysis, regional
 
 def increment_sql(rows: str, first: str) -> str:
     return f"""select i1.*, case when raw is not null then greatest(case when raw < 0 then ssrd else raw end, 0.0e0) end as increment
-        from (select i0.*, case when hour(t) = 1 then ssrd when prev_t is null then {first} else ssrd - prev end as raw
+        from (select i0.*, case when hour(t) = 1 then ssrd when prev_t is null or 12 * (year(t) - year(prev_t)) + month(t) - month(prev_t) > 1 then {first} else ssrd - prev end as raw
           from (select *, lag(ssrd) over w as prev, lag(t) over w as prev_t from {rows}
                 window w as (partition by cell order by t)) i0) i1"""
 
@@ -35,6 +35,11 @@ def _(d):
     return select_period(accumulation.deaccumulate(d.accum_months, "ssrd"), "2024", "2")
 
 
+@case("deaccumulate_missing_month", "accum_gap", "cell t ~increment", increment_sql("accum_gap", "ssrd"))
+def _(d):
+    return accumulation.deaccumulate(d.accum_gap, "ssrd", policy="current")
+
+
 @case("deaccumulate_daily_chunks", "accum_months", "cell t ~increment", increment_sql("accum_months", "null"))
 def _(d):
     day = F.to_date("t")
@@ -255,6 +260,21 @@ def _(d):
     return regional.solar(d.flux_grid, d.instant_grid, d.land_mask, shared_axis=False)
 
 
+@case("regional_solar_job_shared_axis", "flux_axis flux_grid dense_grid land_mask", "cell t ~cf",
+      "select s.cell, s.t, case when m.is_land then s.cf end as cf from ("
+      + REGIONAL_SQL.replace("instant_grid", "dense_grid") + ") s join land_mask m on m.cell = s.cell")
+def _(d):
+    years = {"year": F.year("t"), "month": F.month("t")}
+    return regional.solar(d.flux_grid.withColumns(years), d.dense_grid.withColumns(years), d.land_mask, "2000-2100")
+
+
+@case("regional_solar_job_unknown_units", "flux_axis flux_grid instant_grid land_mask", "cell t ~cf",
+      f"select s.cell, s.t, case when m.is_land then s.cf end as cf from ({REGIONAL_SQL}) s join land_mask m on m.cell = s.cell")
+def _(d):
+    flux, states = (df.withColumn("file", F.lit("a")) for df in (d.flux_grid, d.instant_grid))
+    return regional.solar(flux, states, d.land_mask, shared_axis=False, irradiance_units=None, temperature_units=None, file_keys=["file"])
+
+
 @case("regional_wind_job", "component_u component_v land_mask", "cell t ~cf", "select c.cell, c.t, case when m.is_land then c.cf end as cf from ("
       + wind_sql("select u.cell, u.t, uas, vas from component_u u join component_v v on u.cell = v.cell and u.t = v.t",
                  "sqrt(uas * uas + vas * vas)") + ") c left join land_mask m on m.cell = c.cell")
@@ -279,6 +299,14 @@ def _(d):
     return reanalysis.wind(weather, d.land_mask, knots(d.spark), RATED_KW)
 
 
+@case("reanalysis_wind_job_kmh", "accum_grid land_mask", "cell t ~cf", "select s.cell, s.t, case when m.is_land then s.cf end as cf from ("
+      + wind_sql("select cell, t, uas / 3.6e0 as uas, vas / 3.6e0 as vas from accum_grid", "sqrt(uas * uas + vas * vas)")
+      + ") s join land_mask m on m.cell = s.cell")
+def _(d):
+    weather = d.accum_grid.withColumnsRenamed({"tas": "t2m", "uas": "u10", "vas": "v10"})
+    return reanalysis.wind(weather, d.land_mask, knots(d.spark), RATED_KW, wind_units="km/h")
+
+
 # --- land mask ----------------------------------------------------------------------------------------------------------------
 
 @case("land_mask_apply", "weather_grid land_mask", "cell t ~rsds", """

@@ -31,6 +31,10 @@ SQL = {
           case when hour(t) % 7 = 0 then null else uas end as uas, case when hour(t) % 11 = 0 then null else vas end as vas
         from {weather_grid} w""",
     "instant_grid": "select cell, t, tas, uas, vas from {weather_grid} w where hour(t) % 3 = 0",
+    "dense_grid": """
+        select c.cell, s.t, s.tas + 0.1e0 * c.cell as tas, s.uas - 0.05e0 * c.cell as uas, s.vas + 0.02e0 * c.cell as vas
+        from (select distinct cell from {weather_grid} w) c
+          cross join (select t, avg(tas) as tas, avg(uas) as uas, avg(vas) as vas from {instant_grid} i group by t) s""",
     "flux_axis": "select distinct cell, t + interval 90 minutes as t from {weather_grid} w where hour(t) % 3 = 0",
     "flux_grid": """
         select cell, lat, lon, t + interval 90 minutes as t, rsds from {weather_grid} w where hour(t) % 3 = 0""",
@@ -40,16 +44,17 @@ SQL = {
             rows between unbounded preceding and current row) as ssrd
         from {weather_grid} w""",
     "accum_months": "select cell, lat, lon, t + interval 20 days as t, tas, uas, vas, ssrd from {accum_grid} a",
+    "accum_gap": "select cell, t + case when cell % 2 = 0 and day(t) > 15 then interval 40 days else interval 0 days end as t, ssrd from {accum_grid} a",
     "component_u": """
         select cast(user_id % 36 as int) as cell, 0.5e0 * (user_id % 36) as lat, 1.5e0 * (user_id % 36) as lon,
           date_trunc('hour', ts) as t, avg(cast(event_id % 23 as double) - 11.0e0) as uas
-        from {events} e where event_type in ('view', 'click', 'purchase') group by 1, 2, 3, 4""",
+        from {events} e group by 1, 2, 3, 4""",
     "component_v": """
         select cast(user_id % 40 as int) as cell,
           0.5e0 * (user_id % 40) + case when user_id % 40 in (5, 15) then 0.001e0 else 0.0000001e0 end as lat,
           1.5e0 * (user_id % 40) + case when user_id % 40 in (7, 15) then 0.001e0 else 0.0e0 end as lon,
           date_trunc('hour', ts) as t, avg(cast((event_id * 7) % 19 as double) - 9.0e0) as vas
-        from {events} e where event_type in ('click', 'error', 'signup') group by 1, 2, 3, 4""",
+        from {events} e group by 1, 2, 3, 4""",
     "land_mask": "select distinct cell, cell % 3 <> 0 as is_land from {weather_grid} w",
     "cf_daily": """
         select case when l_linestatus = 'O' then 'solar' else 'wind' end as energy, n_name as region, l_suppkey as cell,

@@ -51,13 +51,14 @@ def temperature_celsius(value: Column, units: Column, looks_like_kelvin: Column)
     return F.when(in_kelvin, value - F.lit(KELVIN_OFFSET)).otherwise(value)
 
 
-def wind_ms(value: Column, units: Column) -> Column:
-    """m s-1; missing becomes 0."""
+def wind_ms(value: Column, units: Column, missing_is_calm: bool = True) -> Column:
+    """m s-1; missing becomes 0, or NULL where it must stay apart from calm."""
     text = _spelling(units)
     in_kmh = F.lit(False)
     for spelling in KMH_SPELLINGS:
         in_kmh = in_kmh | text.contains(spelling)
-    return or_zero(finite(F.when(in_kmh, value / F.lit(KMH_PER_MS)).otherwise(value)))
+    speed = finite(F.when(in_kmh, value / F.lit(KMH_PER_MS)).otherwise(value))
+    return or_zero(speed) if missing_is_calm else speed
 
 
 def ghi_kw_from_increment(increment: Column) -> Column:

@@ -27,24 +27,28 @@ def deaccumulate(
     """Increments of a running total that restarts at 01:00 UTC every day.
 
     The 01:00 row is an increment already; every other row is its total minus that of the previous
-    row, across month borders. ``policy`` decides the first row of a key. A negative difference falls
+    row, if that lies in the same or the directly preceding month. ``policy`` decides every other row, such as the
+    first of a key and the first after a missing month. A negative difference falls
     back to the total; what is still negative becomes 0. To process a range of months, pass one more
     month before it and filter afterwards.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}: {policy!r}")
     total = F.col(value).cast("double")  # stored in single precision
+    # A missing month leaves no predecessor: it must lie in the same or the directly preceding month.
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    near = month(F.col(t)) - month(F.col(f"previous_{t}")) <= 1
     first = {"zero": F.lit(0.0), "nan": F.lit(None).cast("double"), "current": total}[policy]
     step = (
         F.when(F.hour(t) == 1, total)
-        .when(F.col("has_previous"), total - F.col(f"previous_{value}"))
+        .when(F.col("has_previous") & near, total - F.col(f"previous_{value}"))
         .otherwise(first)
     )
-    found = with_previous(df, keys, t, [value], time_chunk(F.col(t)) if chunk is None else chunk)
+    found = with_previous(df, keys, t, [value, t], time_chunk(F.col(t)) if chunk is None else chunk)
     return (
         found.withColumn("_step", step)
         .withColumn(output, at_least(F.when(F.col("_step") < 0, total).otherwise(F.col("_step")), 0.0))
-        .drop("_step", "has_previous", f"previous_{value}")
+        .drop("_step", "has_previous", f"previous_{value}", f"previous_{t}")
     )
 
 

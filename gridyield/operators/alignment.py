@@ -68,6 +68,28 @@ def require_same_grid(reference: DataFrame, others: dict[str, DataFrame], with_t
             raise ValueError(f"{name} is not on the reference grid, for instance {first}")
 
 
+def require_partners(
+    reference: DataFrame, others: dict[str, DataFrame], keys: Sequence[str], t: str = "t", shared_axis: bool = False
+) -> None:
+    """Raise when a cell of the reference has no row in another variable, or a variable has a time step twice.
+
+    With ``shared_axis`` every cell must have as many steps as any other. Without this a cell would get missing
+    values, which the capacity factor takes for zero.
+    """
+    cells = reference.select(*keys).distinct()
+    for name, other in others.items():
+        lost = cells.join(other.select(*keys).distinct(), list(keys), "left_anti").head(5)
+        if lost:
+            raise ValueError(f"cells without {name}, for instance {lost}")
+        twice = other.groupBy(*keys, t).agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(5)
+        if twice:
+            raise ValueError(f"the time axis of {name} does not increase, for instance {twice}")
+        if shared_axis:
+            steps = other.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n").alias("least"), F.max("n").alias("most")).first()
+            if steps["least"] != steps["most"]:
+                raise ValueError(f"cells of {name} have between {steps['least']} and {steps['most']} steps, not one axis")
+
+
 def monotonic_violations(
     df: DataFrame, keys: Sequence[str], step: str, t: str, block: int = 65536
 ) -> DataFrame:

@@ -32,6 +32,24 @@ def select_period(df: DataFrame, years, months="", t: str = "t", require_rows: b
     return out
 
 
+def select_around(df: DataFrame, years, months="", t: str = "t", pad_hours: int = 24) -> DataFrame:
+    """Rows of the period and those up to ``pad_hours`` before and after each of its months.
+
+    Tables partitioned by ``year``/``month`` are cut to the months and their neighbours first, which prunes files.
+    """
+    first, last = parse_years(years)
+    wanted = [12 * y + m for y in range(first, last + 1) for m in parse_months(months)]
+    number = lambda c: F.year(c) * 12 + F.month(c)
+    pad = F.expr(f"interval {int(pad_hours)} hours")
+    out = df
+    if {"year", "month"} <= set(df.columns):
+        near = sorted({n + d for n in wanted for d in (-1, 0, 1)})
+        out = out.where((F.col("year") * 12 + F.col("month")).isin(near))
+    if dict(df.dtypes)[t] not in ("timestamp", "timestamp_ntz", "date"):
+        return out
+    return out.where(number(F.col(t)).isin(wanted) | number(F.col(t) + pad).isin(wanted) | number(F.col(t) - pad).isin(wanted))
+
+
 def split_names(values: str | Iterable[str] | None) -> list[str]:
     """Comma lists and plain lists of names, also mixed."""
     if not values:
@@ -136,9 +154,11 @@ def valid_extent(mosaic: DataFrame, value: str = "cf", pad_degrees: float = 2.0,
 def crop_to_valid(mosaic: DataFrame, value: str = "cf", pad_degrees: float = 2.0, extent: str = "data") -> DataFrame:
     """Rows of the mosaic inside the padded box of its valid cells.
 
-    Runs one aggregate job for the four edges; as literals they reach the scan of a stored mosaic.
+    The box is a scalar subquery of one row: nothing runs while the plan is built. Pass a stored mosaic, which is
+    then read twice instead of computed twice.
     """
-    box = valid_extent(mosaic, value, pad_degrees, extent).select("r0", "r1", "c0", "c1").first()
+    edges = valid_extent(mosaic, value, pad_degrees, extent)
+    box = edges.select(F.struct("r0", "r1", "c0", "c1")).scalar()
     return _plot_row_col(mosaic).where(
         F.col("lat_idx").between(box["r0"], box["r1"]) & F.col("col").between(box["c0"], box["c1"])
     )

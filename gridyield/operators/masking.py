@@ -7,18 +7,13 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridyield.constants import LATTICE_NLAT, LATTICE_NLON
 from gridyield.operators.sizing import broadcast_if_small
 
 
-# The mask is a table of the lattice, whose size is fixed; only its land cells travel.
-MAX_MASK_ROWS = LATTICE_NLAT * LATTICE_NLON
-
-
 def attach_mask(df: DataFrame, mask: DataFrame, on: Sequence[str] = ("cell",)) -> DataFrame:
-    """Add ``is_land``: true on land, NULL elsewhere."""
+    """Add ``is_land``: true on land, NULL elsewhere. The mask has at most the size of the lattice; only its land cells travel."""
     land = mask.where("is_land").select(*on, "is_land")
-    return df.join(broadcast_if_small(land, max_rows=MAX_MASK_ROWS), list(on), "left")
+    return df.join(broadcast_if_small(land), list(on), "left")
 
 
 def apply_land_mask(
@@ -32,7 +27,7 @@ def apply_land_mask(
 def drop_ocean(df: DataFrame, mask: DataFrame, on: Sequence[str] = ("cell",)) -> DataFrame:
     """Remove ocean rows at ingest."""
     land = mask.where("is_land").select(*on)
-    return df.join(broadcast_if_small(land, max_rows=MAX_MASK_ROWS), list(on), "left_semi")
+    return df.join(broadcast_if_small(land), list(on), "left_semi")
 
 
 def land_share(mask: DataFrame) -> DataFrame:

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridyield.session import ensure_checkpoint_dir
-
 # Estimates of Parquet scans are compressed sizes, so this leaves room for a table ten times larger in memory.
 MAX_BROADCAST_BYTES = 16 * 1024 * 1024
-MAX_BROADCAST_ROWS = 2_000_000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -20,34 +17,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(
-    df: DataFrame,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    count_rows: bool = True,
-) -> DataFrame:
-    """Mark a join side for broadcast when its size is proven small, else leave the choice to Spark.
-
-    First the plan estimate, which costs nothing; only when that is too large (estimates of
-    aggregates are upper bounds) a row count. It is a plain count, whose partial counts merge; a
-    limit would send its rows to one task.
-    """
-    estimate = estimated_bytes(df)
-    if estimate is not None and estimate <= max_bytes:
-        return F.broadcast(df)
-    if count_rows and df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def materialised(df: DataFrame) -> DataFrame:
-    """Compute a small derived table once, in the shared checkpoint folder.
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark a join side for broadcast when the plan's estimate proves it small, else leave the choice to Spark.
 
-    Used before ``broadcast_if_small`` for tables derived from facts, so that the size check does not
-    run the facts twice. Skipped when the plan is small anyway.
+    Nothing runs while the plan is built. Estimates of aggregates over facts are upper bounds, so such sides are
+    left to the adaptive execution, which sees their real size.
     """
     estimate = estimated_bytes(df)
-    if estimate is not None and estimate <= MAX_BROADCAST_BYTES:
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return F.broadcast(df) if estimate is not None and estimate <= max_bytes else df

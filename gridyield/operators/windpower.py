@@ -11,8 +11,6 @@ from gridyield import constants as K
 from gridyield.functions import wind
 from gridyield.functions.nulls import or_zero
 
-MAX_KNOTS = 4096
-
 
 def prepare_power_curves(curves: DataFrame, turbine: str = "turbine") -> DataFrame:
     """Curves in kW up to the cut-out speed, for any number of turbines.
@@ -38,13 +36,13 @@ def prepare_power_curves(curves: DataFrame, turbine: str = "turbine") -> DataFra
     return kept.unionByName(extra)
 
 
-def curve_knots(prepared: DataFrame) -> list[tuple[float, float]]:
-    """Knots of one prepared curve on the driver: a model parameter, refused when it is not small."""
-    rows = prepared.select("ws", "power_kw").orderBy("ws").limit(MAX_KNOTS + 1).collect()
+def curve_knots(prepared: DataFrame, turbine: str = "turbine") -> list[tuple[float, float]]:
+    """Knots of one prepared curve on the driver: a model parameter with the size of its own table."""
+    rows = prepared.orderBy("ws").collect()
     if not rows:
         raise ValueError("the power curve has no knot below the cut-out speed")
-    if len(rows) > MAX_KNOTS:
-        raise ValueError(f"a power curve has at most {MAX_KNOTS} knots")
+    if turbine in prepared.columns and len({r[turbine] for r in rows}) > 1:
+        raise ValueError("knots of several turbines do not make one curve; choose one before")
     return [(r["ws"], r["power_kw"]) for r in rows]
 
 

@@ -35,7 +35,10 @@ def solar(
     return apply_land_mask(out, mask).drop("ghi_kw", "tas_c", "increment", "ssrd", "t2m", "u10", "v10")
 
 
-def wind(weather: DataFrame, mask: DataFrame, knots, rated_kw: float, years=None, months="") -> DataFrame:
+def wind(
+    weather: DataFrame, mask: DataFrame, knots, rated_kw: float, years=None, months="", wind_units: str = "m s-1"
+) -> DataFrame:
     wanted = select_period(weather, years, months) if years else weather
-    out = add_wind_cf(wanted, knots, rated_kw, "u10", "v10")
+    ready = wanted.withColumns({n: U.wind_ms(F.col(n), F.lit(wind_units)) for n in ("u10", "v10")})
+    out = add_wind_cf(ready, knots, rated_kw, "u10", "v10")
     return apply_land_mask(out, mask).drop("ssrd", "t2m", "u10", "v10")

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridyield.functions import units as U
-from gridyield.operators.alignment import align_inner
-from gridyield.operators.filters import select_period
+from gridyield.operators.alignment import align_inner, require_partners
+from gridyield.operators.filters import select_around, select_period
 from gridyield.operators.interpolation import bracket_table, interpolate, interpolate_shared_axis
 from gridyield.operators.masking import apply_land_mask
 from gridyield.operators.photovoltaic import add_solar_cf
-from gridyield.operators.unit_flags import convert_irradiance, convert_temperature
+from gridyield.operators.unit_flags import convert_irradiance, convert_temperature, irradiance_flags, temperature_flags
 from gridyield.operators.windpower import add_wind_cf
 
 
@@ -33,38 +33,48 @@ def solar(
     file_keys: Sequence[str] = (),
     flux_axis: DataFrame | None = None,
     state_axis: DataFrame | None = None,
+    pad_hours: int = 24,
+    check: bool = True,
 ) -> DataFrame:
     """Solar job: keep the flux axis, interpolate the instantaneous variables to it, mask the ocean.
 
-    ``flux`` has keys, lat, lon, t, rsds; ``states`` keys, t, tas and uas/vas or sfcWind. Time axes
+    ``flux`` has keys, lat, lon, t, rsds; ``states`` keys, t, tas and uas/vas or sfcWind. With ``years`` both are cut to
+    the period before they meet, ``states`` padded by ``pad_hours``, which must cover one of its steps. Time axes
     kept as tables of their own (column t) spare a pass over the data. Units given as None are judged
-    by magnitude per ``file_keys``, columns of ``flux`` that tell the files apart.
+    by magnitude per ``file_keys``: columns of ``flux`` that tell the files apart, and of ``states``, where they are
+    judged before the join. ``missing_wind="zero_cf"`` keeps missing wind apart from calm after its conversion.
+    ``check`` refuses cells without states and doubled steps, before anything is computed.
     """
+    if irradiance_units is None or temperature_units is None:
+        if not file_keys:
+            raise ValueError("unknown units are judged per file: name the columns in file_keys")
     wanted = select_period(flux, years, months) if years else flux
+    around = select_around(states, years, months, pad_hours=pad_hours) if years else states
     names = ["tas", "sfcWind"] if scalar_wind else ["tas", "uas", "vas"]
+    if check:
+        require_partners(wanted, {"states": around}, keys, shared_axis=shared_axis)
     if shared_axis:
         table = bracket_table(
             (wanted if flux_axis is None else flux_axis).select("t").distinct(),
-            (states if state_axis is None else state_axis).select("t").distinct(),
+            (around if state_axis is None else state_axis).select("t").distinct(),
         )
-        aligned = wanted.join(interpolate_shared_axis(table, states, names, keys), [*keys, "t"], "left")
+        aligned = wanted.join(interpolate_shared_axis(table, around, names, keys), [*keys, "t"], "left")
     else:
-        aligned = interpolate(wanted, states, names, keys)
-    if missing_wind == "zero_wind":
-        # those copies convert the wind first, which turns missing into calm
-        aligned = aligned.withColumns({w: U.wind_ms(F.col(w), F.lit(wind_units)) for w in names[1:]})
-    if irradiance_units is None or temperature_units is None:
-        if not file_keys:
-            raise ValueError("unknown units are judged per file: name the columns in file_keys")
+        aligned = interpolate(wanted, around, names, keys)
+    # with zero_wind the conversion turns missing into calm, with zero_cf it stays missing
+    calm = missing_wind == "zero_wind"
+    aligned = aligned.withColumns({w: U.wind_ms(F.col(w), F.lit(wind_units), calm) for w in names[1:]})
     labelled = aligned.withColumns(
         {"_flux_units": F.lit(irradiance_units).cast("string"), "_tas_units": F.lit(temperature_units).cast("string")}
     )
     if irradiance_units is None:
-        ready = convert_irradiance(labelled, "rsds", "_flux_units", file_keys)
+        flags = irradiance_flags(wanted, "rsds", file_keys)
+        ready = convert_irradiance(labelled, "rsds", "_flux_units", file_keys, flags=flags)
     else:
         ready = labelled.withColumn("ghi_kw", U.irradiance_kw(F.col("rsds"), F.col("_flux_units"), F.lit(False)))
     if temperature_units is None:
-        ready = convert_temperature(ready, "tas", "_tas_units", file_keys)
+        judged = around if set(file_keys) <= set(around.columns) else labelled
+        ready = convert_temperature(ready, "tas", "_tas_units", file_keys, flags=temperature_flags(judged, "tas", file_keys))
     else:
         ready = ready.withColumn("tas_c", U.temperature_celsius(F.col("tas"), F.col("_tas_units"), F.lit(False)))
     speed = "sfcWind" if scalar_wind else None
@@ -83,10 +93,13 @@ def wind(
     keys: Sequence[str] = ("cell", "t"),
     wind_units: str = "m s-1",
 ) -> DataFrame:
-    """Wind job: align both components on common keys, or take one scalar speed (``v=None``)."""
+    """Wind job: align both components on common keys, or take one scalar speed (``v=None``).
+
+    Both sides are cut to the period before they meet, on partition columns where they have them.
+    """
     scalar = v is None
-    both = u if scalar else align_inner(u, v.select(*keys, "vas"), keys)
-    rows = select_period(both, years, months) if years else both
+    cut = (lambda df: select_period(df, years, months)) if years else (lambda df: df)
+    rows = cut(u) if scalar else align_inner(cut(u), cut(v).select(*keys, "vas"), keys)
     names = ["sfcWind"] if scalar else ["uas", "vas"]
     ready = rows.withColumns({n: U.wind_ms(F.col(n), F.lit(wind_units)) for n in names})
     out = add_wind_cf(ready, knots, rated_kw, speed="sfcWind" if scalar else None)

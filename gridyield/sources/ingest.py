@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from dataclasses import dataclass
+from typing import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,37 +21,44 @@ CF_NAMES = {
 }
 
 
-def pick_name(available: Iterable[str], candidates: Sequence[str]) -> str:
+@dataclass(frozen=True)
+class NameRule:
+    """How a column is recognised: exact names in order, then optionally a part of the name, then being alone."""
+
+    exact: tuple[str, ...]
+    part: str | None = None
+    alone: bool = False
+
+    def guesses(self, available: list[str]) -> Iterator[list[str]]:
+        """Lists of columns, best guess first; a list of one decides."""
+        yield from ([n] for n in self.exact if n in available)
+        if self.part is not None:
+            yield [n for n in available if self.part in n.lower()]
+        if self.alone:
+            yield available
+
+
+def resolve(available: Iterable[str], rule: NameRule, what: str) -> str:
+    """The column a rule points to; KeyError when none or several are left."""
     have = list(available)
-    for name in candidates:
-        if name in have:
-            return name
-    raise KeyError(f"none of {list(candidates)} in {have}")
+    certain = next((guess for guess in rule.guesses(have) if len(guess) == 1), None)
+    if certain is None:
+        raise KeyError(f"cannot tell {what} among {have}")
+    return certain[0]
+
+
+def pick_name(available: Iterable[str], candidates: Sequence[str]) -> str:
+    return resolve(available, NameRule(tuple(candidates)), f"one of {list(candidates)}")
 
 
 def pick_variable(available: Iterable[str], preferred: str, suffix: str = "_bcsd") -> str:
     """``<preferred>_bcsd``, else the plain name, else the only variable."""
-    have = list(available)
-    for name in (preferred + suffix, preferred):
-        if name in have:
-            return name
-    if len(have) == 1:
-        return have[0]
-    raise KeyError(f"cannot tell variable {preferred} among {have}")
+    return resolve(available, NameRule((preferred + suffix, preferred), alone=True), f"variable {preferred}")
 
 
 def pick_cf_variable(available: Iterable[str], technology: str = "auto") -> str:
     """Known names of the technology, else the only name with ``cf``, else the only variable."""
-    have = list(available)
-    for name in CF_NAMES[technology]:
-        if name in have:
-            return name
-    alike = [name for name in have if "cf" in name.lower()]
-    if len(alike) == 1:
-        return alike[0]
-    if len(have) == 1:
-        return have[0]
-    raise KeyError(f"cannot tell the capacity factor among {have}")
+    return resolve(available, NameRule(CF_NAMES[technology], part="cf", alone=True), "the capacity factor")
 
 
 def canonical_coordinates(df: DataFrame) -> DataFrame:
@@ -64,9 +72,9 @@ def canonical_coordinates(df: DataFrame) -> DataFrame:
     )
 
 
-def extra_dimension_sizes(df: DataFrame, extra: Sequence[str], file: Sequence[str] = ()) -> DataFrame:
-    """Distinct values of each extra dimension per file; only single-valued ones may be dropped."""
-    return df.groupBy(*file).agg(*[F.count_distinct(c).alias(c) for c in extra])
+def several_values(df: DataFrame, extra: Sequence[str], file: Sequence[str] = ()) -> DataFrame:
+    """Per file whether an extra dimension has more than one value. Extremes merge map-side, so one huge file is no hot spot."""
+    return df.groupBy(*file).agg(*[F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(c) for c in extra])
 
 
 def squeeze(df: DataFrame, extra: Sequence[str], file: Sequence[str] = ()) -> DataFrame:
@@ -75,8 +83,8 @@ def squeeze(df: DataFrame, extra: Sequence[str], file: Sequence[str] = ()) -> Da
         return df
     condition = F.lit(False)
     for c in extra:
-        condition = condition | (F.col(c) > 1)
-    bad = extra_dimension_sizes(df, extra, file).where(condition).head(1)
+        condition = condition | F.col(c)
+    bad = several_values(df, extra, file).where(condition).head(1)
     if bad:
         raise ValueError(f"extra dimensions are not single-valued: {bad}")
     return df.drop(*extra)

@@ -175,10 +175,10 @@ def test_year_reports(spark):
 def test_broadcast_only_when_small(spark, folder, plan):
     big = spark.range(10)
     assert estimated_bytes(big) is not None
-    assert "broadcast" in plan(big.join(broadcast_if_small(big, max_bytes=1, max_rows=20), "id")).lower()
+    assert "broadcast" in plan(big.join(broadcast_if_small(big), "id")).lower()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "broadcast" not in plan(big.join(broadcast_if_small(big, max_bytes=1, max_rows=5), "id")).lower()
+        assert "broadcast" not in plan(big.join(broadcast_if_small(big, max_bytes=1), "id")).lower()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -293,19 +293,6 @@ def test_choice_of_cf_files(spark):
     assert got == {"A": (names[0], 1), "B": ("any_ssp126.nc", 1)}
 
 
-def test_derived_dimension_is_checkpointed_when_large(spark):
-    from gridyield.operators import sizing
-    from gridyield.session import ensure_checkpoint_dir
-
-    assert ensure_checkpoint_dir(spark)
-    old, sizing.MAX_BROADCAST_BYTES = sizing.MAX_BROADCAST_BYTES, 1
-    try:
-        kept = sizing.materialised(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
-    finally:
-        sizing.MAX_BROADCAST_BYTES = old
-    assert kept.count() == 7
-
-
 def test_unknown_units_are_judged_by_magnitude(spark):
     flux, states, mask = regional_input(spark)
     named = flux.withColumn("file", F.lit("f"))
