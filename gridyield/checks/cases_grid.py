@@ -198,24 +198,27 @@ def _(d):
 
 
 @case("dataset_ratio", "cf_daily daily_mask", "energy #year ~value ~other ~ratio", f"""
-    select a.energy, a.year, a.mean_cf as value, b.mean_cf as other, case when b.mean_cf > 0 then a.mean_cf / b.mean_cf end as ratio
+    select a.energy, a.year, a.mean_cf as value, case when b.year <= 1998 then b.mean_cf end as other,
+      case when b.year <= 1998 and b.mean_cf > 0 then a.mean_cf / b.mean_cf end as ratio
     from ({WEIGHTED_SQL.format(region_year_sql(True))}) a left join (select * from ({WEIGHTED_SQL.format(region_year_sql(False))}) z
-      where year <= 1998) b on a.energy = b.energy and a.year = b.year""")
+      ) b on a.energy = b.energy and a.year = b.year""")
 def _(d):
     masked = annual.from_regions(d.cf_daily, d.daily_mask, ["energy"])[1]
-    plain = annual.from_regions(d.cf_daily, None, ["energy"], "1900-1998")[1]
+    # all years are computed; later ones lose their value, as an entry that the other data set does not have
+    plain = annual.from_regions(d.cf_daily, None, ["energy"])[1]
+    plain = plain.withColumn("mean_cf", F.when(F.col("year") <= 1998, F.col("mean_cf")))
     return regions.dataset_ratio(masked, plain)
 
 
 @case("country_comparison", "cf_daily daily_mask", "energy region #year ~mean_cf ~mean_cf_published ~mean_cf_ratio", f"""
     select r.energy, r.region, r.year, r.mean_cf, p as mean_cf_published, case when p > 0 then mean_cf / p end as mean_cf_ratio
     from ({region_year_sql(True)}) r left join (
-      select n_name as region, avg(c_acctbal) / 10000.0e0 as p from customer join nation on n_nationkey = c_nationkey
-      where c_mktsegment <> 'BUILDING' and n_nationkey <> 4 group by 1) q on q.region = r.region""")
+      select n_name as region, case when n_name <> 'EGYPT' then avg(c_acctbal) / 10000.0e0 end as p
+      from customer join nation on n_nationkey = c_nationkey group by 1) q on q.region = r.region""")
 def _(d):
-    chosen = d.customer.where((F.col("c_mktsegment") != "BUILDING") & (F.col("c_nationkey") != 4))
-    published = chosen.join(d.nation, F.col("n_nationkey") == F.col("c_nationkey")).groupBy(
+    published = d.customer.join(d.nation, F.col("n_nationkey") == F.col("c_nationkey")).groupBy(
         F.col("n_name").alias("region")).agg((F.avg("c_acctbal") / 10000.0).alias("mean_cf"))
+    published = published.withColumn("mean_cf", F.when(F.col("region") != "EGYPT", F.col("mean_cf")))  # one value is missing
     return comparison.with_published(
         regions.region_annual_mean(d.cf_daily, d.daily_mask), published, ["region"], ["mean_cf"])
 
@@ -293,13 +296,13 @@ def _(d):
 LOG_SQL = """select c.region, n_time, n_valid, mean_cf, lat_min, lat_max, lon_min_0360, lon_max_0360 from (
       select region, count(cf) as n_valid, avg(cf) as mean_cf, min(lat) as lat_min, max(lat) as lat_max,
         min((lon + 360.0e0) % 360.0e0) as lon_min_0360, max((lon + 360.0e0) % 360.0e0) as lon_max_0360
-      from (select region, cell % 90 - 45.0e0 as lat, cell % 360 - 180.0e0 as lon, avg(cf) as cf from cf_daily where year = 1998 group by 1, 2, 3) x
+      from (select region, cell % 90 - 45.0e0 as lat, cell % 360 - 180.0e0 as lon, avg(cf) as cf from cf_daily group by 1, 2, 3) x
       group by 1) c
-    join (select region, count(distinct t) as n_time from cf_daily where year = 1998 group by 1) s on s.region = c.region"""
+    join (select region, count(distinct t) as n_time from cf_daily group by 1) s on s.region = c.region"""
 
 
 def log_input(d):
-    return d.cf_daily.where(F.col("year") == 1998).withColumns(
+    return d.cf_daily.withColumns(
         {"lat": F.col("cell") % 90 - 45.0, "lon": F.col("cell") % 360 - 180.0})
 
 

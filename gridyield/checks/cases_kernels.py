@@ -89,11 +89,16 @@ def weather_rows(df):
 
 # --- calendar ---------------------------------------------------------------------------------------------
 
-@case("calendar_features", "flux_axis", "cell t #doy ~hour_decimal", """
+def half_hours(d):
+    """All rows at times that are not whole hours."""
+    return d.weather_grid.withColumn("t", F.col("t") + F.expr("interval 90 minutes"))
+
+
+@case("calendar_features", "weather_grid", "cell t #doy ~hour_decimal", """
     select cell, t, dayofyear(t) as doy, hour(t) + minute(t) / 60.0e0 + second(t) / 3600.0e0 as hour_decimal
-    from flux_axis""")
+    from (select cell, t + interval 90 minutes as t from weather_grid) w""")
 def _(d):
-    return d.flux_axis.withColumns({"doy": C.day_of_year(F.col("t")), "hour_decimal": C.hour_decimal(F.col("t"))})
+    return half_hours(d).withColumns({"doy": C.day_of_year(F.col("t")), "hour_decimal": C.hour_decimal(F.col("t"))})
 
 
 # --- coordinates --------------------------------------------------------------------------------------------
@@ -161,10 +166,10 @@ def _(d):
     return photovoltaic.add_geometry(d.weather_grid).withColumnRenamed("_cosz", "cosz")
 
 
-@case("cos_zenith_rotated", "flux_grid", "cell t ~cosz", geometry_sql(
-    "select cell, lat * 0.9e0 + 0.01e0 * lon as lat, lon - 180.0e0 + 0.1e0 * lat as lon, t from flux_grid"))
+@case("cos_zenith_rotated", "weather_grid", "cell t ~cosz", geometry_sql(
+    "select cell, lat * 0.9e0 + 0.01e0 * lon as lat, lon - 180.0e0 + 0.1e0 * lat as lon, t + interval 90 minutes as t from weather_grid"))
 def _(d):
-    tilted = d.flux_grid.select("cell", (F.col("lat") * 0.9 + F.col("lon") * 0.01).alias("lat"),
+    tilted = half_hours(d).select("cell", (F.col("lat") * 0.9 + F.col("lon") * 0.01).alias("lat"),
                                 (F.col("lon") - 180.0 + F.col("lat") * 0.1).alias("lon"), "t")
     return photovoltaic.add_geometry(tilted).withColumnRenamed("_cosz", "cosz")
 
