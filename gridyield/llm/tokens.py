@@ -15,7 +15,7 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 800_000  # kept parts, about 200 bytes each
+KEPT_WORDS = 400_000  # kept parts, about 200 bytes each
 TOGETHER = 2_000  # new parts that the library gets at a time
 #: Blanks at which a text is not cut: in front of white space of either library, of marks that some versions count to it, or of the end.
 NO_CUT = re.compile(r" (?=[\s\x1c-\x1f\x85\u180e\u200b-\u200f\u2060\ufeff]|\Z)")
