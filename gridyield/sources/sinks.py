@@ -66,11 +66,34 @@ def _write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def _partition_folders(spark: SparkSession, path: str) -> list[dict[str, str | None]]:
+    """Partition values of the folders that hold data files, as they are spelled in the names."""
+    fs, root = _filesystem(spark, path), _path(spark, path)
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    depth = 0
+    while fs.globStatus(_path(spark, path + "/*=*" * (depth + 1))):
+        depth += 1
+    base = fs.getFileStatus(root).getPath().toString()
+    found = set()
+    for status in fs.globStatus(_path(spark, path + "/*=*" * depth + "/*.parquet")) or []:
+        found.add(status.getPath().getParent().toString()[len(base):].strip("/"))
+    rows = []
+    for name in sorted(found):
+        pairs = [part.split("=", 1) for part in name.split("/") if part]
+        rows.append({k: None if v == "__HIVE_DEFAULT_PARTITION__" else unescape(v) for k, v in pairs})
+    return rows
+
+
 def existing_partitions(spark: SparkSession, path: str, on: Sequence[str]) -> DataFrame | None:
-    """Partition values already written, from the folder names alone."""
+    """Partition values already written, from a listing of the folders: no file is opened."""
     if not exists(spark, path):
         return None
-    return spark.read.parquet(path).select(*on).distinct()
+    rows = {tuple(r.get(c) for c in on) for r in _partition_folders(spark, path)}
+    if not rows:
+        return None
+    text = spark.createDataFrame(sorted(rows, key=str), ", ".join(f"{c} string" for c in on))
+    types = {c: "int" for c in ("year", "month")}
+    return text.select(*[F.col(c).cast(types.get(c, "string")).alias(c) for c in on])
 
 
 def pending_partitions(requested: DataFrame, path: str, on: Sequence[str], overwrite: bool = False) -> DataFrame:
@@ -144,7 +167,10 @@ def remask(
     spark: SparkSession, source: str, mask: DataFrame, target: str | None = None, value: str = "cf",
     partitions: Sequence[str] = CF_PARTITIONS, overwrite: bool = False,
 ) -> None:
-    """Set ocean values of a written table to NULL, in place or into another table."""
+    """Set ocean values of a written table to NULL, in place or into another table.
+
+    The new table is complete before it takes the place of the old one, so it needs the space twice.
+    """
     if target and not overwrite and exists(spark, target):
         return
     df = spark.read.parquet(source)
