@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from gridyield.llm.common import written
 from gridyield.llm.components import connected
-from gridyield.llm.vectors import matrix
+from gridyield.llm.vectors import matrix, sampled
 
 SAMPLE = 20_000  # vectors the codebooks are fitted on
 OCCUPANCY = 128  # vectors that a cell should hold
@@ -90,11 +90,8 @@ def _codebook(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8)
 
 
 def fit_grid(vectors: DataFrame, vector: str, cosine: float, recall: float, seed: int = 3) -> Grid | None:
-    """Codebooks from a sample of at most about ``SAMPLE`` rows; None for a table without vectors."""
-    n = vectors.count()
-    share = min(1.0, SAMPLE / max(n, 1))
-    rows = (vectors if share == 1.0 else vectors.sample(fraction=share, seed=seed)).select(vector).toArrow()
-    _, values = matrix(rows.column(0).combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.float64())))
+    """Codebooks from a sample of at most about ``SAMPLE`` vectors of the usual length; None for a table without vectors."""
+    values, n = sampled(vectors, vector, SAMPLE, seed)
     if not len(values):
         return None
     values = values[np.lexsort(values.T[::-1])]  # the order of the rows must not matter

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridyield.llm.common import written
-from gridyield.llm.vectors import matrix
+from gridyield.llm.vectors import matrix, sampled
 
 PROJECTIONS = 8
 SAMPLE = 20_000  # rows the cells are fitted on
@@ -119,11 +119,8 @@ def _split(points: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_space(vectors: DataFrame, vector: str, projections: int, cell: int, seed: int = 5) -> Space | None:
-    """Projections, and cells from a sample of about ``SAMPLE`` rows; None for a table without vectors."""
-    n = vectors.count()
-    share = min(1.0, SAMPLE / max(n, 1))
-    rows = (vectors if share == 1.0 else vectors.sample(fraction=share, seed=seed)).select(vector).toArrow()
-    _, values = matrix(rows.column(0).combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.float64())))
+    """Projections, and cells from a sample of about ``SAMPLE`` vectors of the usual length; None for a table without vectors."""
+    values, n = sampled(vectors, vector, SAMPLE, seed)
     if not len(values):
         return None
     directions = np.random.default_rng(seed).standard_normal((values.shape[1], projections))
@@ -174,7 +171,7 @@ def nearest_neighbours(
     """query_id, rank, vec_id, score: the ``k`` nearest rows by Euclidean distance of each row whose vec_id is divisible by ``every``.
 
     Ties go to the smaller vec_id; rows with the query's own vec_id are not its neighbours. Null, zero and non-finite
-    vectors, vectors of another length and null vec_ids take no part. A vec_id on several rows counts once, at its nearest row; as
+    vectors, vectors of another length than most and null vec_ids take no part. A vec_id on several rows counts once, at its nearest row; as
     a query it asks with each of its rows and keeps the nearest answers.
     """
     spark = vectors.sparkSession

@@ -4,6 +4,34 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def is_vector(vector: str) -> Column:
+    """What ``matrix`` takes: not null, all components finite and not null, one of them not zero."""
+    finite = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))  # nan is the largest number
+    return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
+def usual_length(vectors: DataFrame, vector: str) -> tuple[int, int]:
+    """(dims, n): the most frequent length among all rows with a vector, of equally frequent ones the largest, and its rows.
+
+    (0, 0) for a table without vectors.
+    """
+    lengths = vectors.where(is_vector(vector)).groupBy(F.size(vector).alias("dims")).agg(F.count(F.lit(1)).alias("n"))
+    most = lengths.agg(F.max(F.struct("n", "dims")).alias("most")).first()["most"]
+    return (most["dims"], most["n"]) if most else (0, 0)
+
+
+def sampled(vectors: DataFrame, vector: str, most: int, seed: int) -> tuple[np.ndarray, int]:
+    """(values, n): about ``most`` vectors of the usual length, or all if there are fewer, and how many there are."""
+    dims, n = usual_length(vectors, vector)
+    if not n:
+        return np.zeros((0, 0)), 0
+    some = vectors.where(is_vector(vector) & (F.size(vector) == dims)).select(vector)
+    rows = (some if n <= most else some.sample(fraction=most / n, seed=seed)).toArrow()
+    return matrix(rows.column(0).combine_chunks(), dims)[1] if rows.num_rows else np.zeros((0, dims)), n
 
 
 def matrix(column: pa.Array, dims: int | None = None) -> tuple[np.ndarray, np.ndarray]:

@@ -11,12 +11,13 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import bag, connect
+from gridyield.llm import embedding_dedup
 from gridyield.llm.components import connected
 from gridyield.llm.embedding_dedup import fit_grid, linked_vectors
 from gridyield.llm.nearest import chi_square_quantile, leaves, nearest_neighbours
 from gridyield.llm.queries_url import BASE_RULES, MORE_RULES
 from gridyield.llm.url_filter import match_urls, rules_table
-from gridyield.llm.vectors import matrix
+from gridyield.llm.vectors import matrix, usual_length
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, id bigint, v string, cell string, n int"
 ODD = [(900, None, 0), (901, [0.0] * 16, 0), (902, [float("nan")] + [1.0] * 15, 0), (903, [float("inf")] + [1.0] * 15, 0), (904, [None] + [1.0] * 15, 0), (905, [1.0, 2.0], 0), (906, [1.0] * 16, None), (None, [1.0] * 16, 0), (907, [], 1)]
@@ -129,6 +130,28 @@ def test_matrix_leaves_out_what_is_no_vector():
     assert rows.tolist() == [0, 6] and values.tolist() == [[1.0, 2.0], [3.0, 4.0]]
 
 
+LONGER = [[(910, [1.0] * 20, 0)], [(911, [float("nan")] + [1.0] * 23, 0)], [(912, [1.0] * 20, 0), (950, [2.0] * 24, 1), (914, [float("nan")] * 30, 0), (915, [0.0] * 31, 0)]]
+
+
+@pytest.mark.parametrize("longer", LONGER)
+def test_longer_vectors_are_left_out(spark, longer):
+    rows = vectors(21, 120) + ODD + longer
+    got = linked_vectors(frame(spark, rows), recall=1.0).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got if r.vec_id is not None} == brute_links(rows, 0.98)
+    near = [sorted(map(tuple, nearest_neighbours(frame(spark, some), every=50, confidence=1 - 1e-9).collect())) for some in (rows, vectors(21, 120) + ODD)]
+    assert near[0] == near[1] and {q for q, *_ in near[0]} == {0, 50, 100}
+
+
+def test_usual_length_is_of_all_rows(spark, monkeypatch):
+    table = lambda rows: frame(spark, [(k, v, 0) for k, v in enumerate(rows)])
+    assert usual_length(table([[1.0, 2.0], [2.0, 1.0], [1.0] * 3, [0.0] * 4, [0.0] * 4, [0.0] * 4, None, [], [float("inf")] * 5, [None, 1.0]]), "embedding") == (2, 2)
+    assert usual_length(table([[1.0], [1.0, 2.0]]), "embedding") == (2, 1) and usual_length(table([None, []]), "embedding") == (0, 0)
+    # Among many rows without a vector a sample of rows may hold none.
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 20)
+    got = linked_vectors(table([[1.0] * 16, [2.0] * 16] + [None] * 3000)).where("n_links > 0").collect()
+    assert sorted((r.vec_id, r.component_id) for r in got) == [(0, 0), (1, 0)]
+
+
 # URLs
 
 
