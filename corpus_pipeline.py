@@ -25,10 +25,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest doc_id. Rows without a doc_id stay."""
-    kept = link_documents(docs).where("component_id = doc_id").select("doc_id").distinct()
-    first = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where(F.col("doc_id").isNull())).select(COLUMNS)
+    """One row of each group of near duplicates: that with the smallest doc_id, of equal ones that with the smallest hash.
+
+    Rows are judged by their texts, so rows that share a doc_id but no text stay apart, and rows without a doc_id
+    take part and come last. Texts without a word are near duplicates of nothing; of rows that repeat in all columns one stays.
+    """
+    # A hash of the whole row, up to collisions of 64 bits, stands for the doc_id. Nulls leave a hash as it is, so where they are is hashed too.
+    rows = docs.withColumn("_row", F.xxhash64(*COLUMNS, *(F.col(c).isNull() for c in COLUMNS)))
+    linked = link_documents(rows, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    ids = rows.select("_row", F.col("doc_id").isNull().alias("without"), "doc_id").distinct()
+    first = ids.join(linked, "_row").groupBy("component_id").agg(F.min(F.struct("without", "doc_id", "_row")).alias("first"))
+    return rows.join(first.select("first._row"), "_row", "left_semi").dropDuplicates(["_row"]).select(COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

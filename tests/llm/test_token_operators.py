@@ -187,5 +187,17 @@ def test_stages(spark, folder):
     assert {r.doc_id for r in out} == set(kept[2]) and all(r.offset + r.length <= 2048 for r in out)
 
 
+def test_near_duplicates_are_judged_by_row(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    a, b, c, d, e = (prose(k, 60) for k in range(200, 205))
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b), (8, c), (None, c), (None, d), (None, d), (None, d + " more"), (9, e), (9, e + " more"), (10, " "), (10, " "), (None, " "), (11, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(5), "").collect()]
+    kept = [(i, t) for i, t in got if i not in (9, None)]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, a), (5, b), (8, c), (10, " "), (11, None)]))
+    assert len(got) == 8 and sum(i == 9 for i, _ in got) == 1
+    assert sorted(t[:len(d)] for i, t in got if i is None) == sorted([" ", d])
+
+
 def test_marked_words_are_split_in_front_of_blanks():
     assert re.split("(?<=[^▁])(?=▁)", "▁a▁▁b▁") == ["▁a", "▁▁b", "▁"]
