@@ -36,7 +36,7 @@ BATCH_BYTES = 1 << 20  # text that is hashed at a time
 FLUSH = 1 << 20  # lane entries a task holds before it sends them
 HASHES = 64
 AGREE = 27
-CLUSTER = 2048  # sets of a cluster that are verified in one task
+CLUSTER = 2048  # sets of a cluster that are verified in one task, and sets of a lane that are compared in one
 
 
 def band_starts(limit: int) -> np.ndarray:
@@ -237,21 +237,23 @@ def _met(docs: DataFrame, text: str, words: int, percent: int, slots: int) -> Da
     return entries.groupBy("slot").applyInArrow(meet, "lane bigint, number bigint").distinct()
 
 
-def alike(signature: np.ndarray) -> list[tuple[int, int]]:
+def alike(signature: np.ndarray, split: int | None = None) -> list[tuple[int, int]]:
     """Links (i, j) that join all rows reachable by pairs of signatures that agree in AGREE bytes or more.
 
     The first row not joined yet is compared with all rows, so a lane of alike sets takes one comparison per set.
+    With ``split`` only pairs between the first ``split`` rows and the rest count.
     """
     n = len(signature)
-    if n == 2:
+    if n == 2 and split is None:
         return [(0, 1)] if (signature[0] == signature[1]).sum() >= AGREE else []
     root, links = np.arange(n), []
-    for i in range(n):
-        if i and root[i] == root[0] and (root == root[0]).all():
+    rest = 0 if split is None else split
+    for i in range(n if split is None else split):
+        if i and (root == root[0]).all():
             break
-        if root[i] != i and not (root != root[i]).any():
+        if (root[rest:] == root[i]).all():
             continue
-        near = np.flatnonzero((signature == signature[i]).sum(1) >= AGREE)
+        near = rest + np.flatnonzero((signature[rest:] == signature[i]).sum(1) >= AGREE)
         near = near[root[near] != root[i]]
         groups, one = np.unique(root[near], return_index=True)
         links += [(i, int(j)) for j in near[one]]
@@ -259,14 +261,29 @@ def alike(signature: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def _candidates(met: DataFrame, signatures: DataFrame, slots: int) -> DataFrame:
+def _dealt_lanes(met: DataFrame, slots: int, block: int) -> DataFrame:
+    """lane, number, own, slot, i, j: lanes of more than ``block`` sets are cut into blocks, block i meets block j in the task (lane, i, j)."""
+    sizes = met.groupBy("lane").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+    sized = met.join(sizes.select("lane", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")), "lane", "left")
+    own = F.coalesce(F.pmod(F.xxhash64("number"), F.col("blocks")).cast("int"), F.lit(-1))
+    slot = F.when(F.col("blocks").isNull(), F.pmod("lane", F.lit(slots))).otherwise(F.col("lane"))
+    other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = sized.select("lane", "number", own.alias("own"), slot.alias("slot"), other.alias("other"))
+    return dealt.select("lane", "number", "own", "slot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def _candidates(met: DataFrame, signatures: DataFrame, slots: int, block: int) -> DataFrame:
     """Links (a, b) of sets that share a lane and are alike."""
 
     def compare(table: pa.Table) -> pa.Table:
-        lane, number = (table.column(c).to_numpy() for c in ("lane", "number"))
+        lane, number, own = (table.column(c).to_numpy() for c in ("lane", "number", "own"))
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
-        order = np.lexsort((number, lane))
+        order = np.lexsort((number, own != i, lane))
         lane, number, sign = lane[order], number[order], sign[order]
+        if i != j:
+            found = alike(sign, int((own == i).sum()))
+            return pa.table({"a": pa.array(number[np.array([x for x, _ in found], np.int64)], pa.int64()), "b": pa.array(number[np.array([y for _, y in found], np.int64)], pa.int64())})
         first = np.flatnonzero(np.concatenate([[True], lane[1:] != lane[:-1]]))
         size = np.diff(np.append(first, len(lane)))
         two = first[size == 2]
@@ -274,12 +291,12 @@ def _candidates(met: DataFrame, signatures: DataFrame, slots: int) -> DataFrame:
         a, b = [number[two]], [number[two + 1]]
         for start, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
             found = alike(sign[start:start + n])
-            a.append(number[start + np.array([i for i, _ in found], np.int64)])
-            b.append(number[start + np.array([j for _, j in found], np.int64)])
+            a.append(number[start + np.array([x for x, _ in found], np.int64)])
+            b.append(number[start + np.array([y for _, y in found], np.int64)])
         return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
 
-    rows = met.join(signatures, "number").select(F.pmod("lane", F.lit(slots)).cast("int").alias("slot"), "lane", "number", "signature")
-    return rows.groupBy("slot").applyInArrow(compare, "a bigint, b bigint").distinct()
+    rows = _dealt_lanes(met, slots, block).join(signatures, "number").select("slot", "i", "j", "lane", "number", "own", "signature")
+    return rows.groupBy("slot", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def verify_sets(sets: list[np.ndarray], numbers: np.ndarray, percent: int, split: int | None = None) -> np.ndarray:
@@ -371,13 +388,14 @@ def link_documents(
     have an empty set and link with nothing. Documents with equal sets are one class from the start, so a group of
     copies costs one row each whatever its size. A row without a doc_id links with copies only: it has their
     component, null if it has none. Repeated rows all come back. Sets are numbered by 64-bit hashes.
+    Lanes and clusters of more than ``block`` sets are cut into blocks that meet in pairs, one pair in a task.
     """
     spark = docs.sparkSession
     slots = 2 * shuffle_partitions(spark)
     counts = written(shingle_counts(docs, doc_id, text, words), "shingle-counts")
     met = written(_met(docs.where(F.col(doc_id).isNotNull()), text, words, percent, slots), "lanes-met")
     signatures = counts.where("number is not null").groupBy("number").agg(F.min("signature").alias("signature"))
-    met = written(_candidates(met, signatures, slots), "candidates")
+    met = written(_candidates(met, signatures, slots, block), "candidates")
     classes = counts.where("name is not null").groupBy("name", "number").agg(F.min("doc_id").alias("least"))
     clusters = written(connected(met), "clusters")
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n_members"))

@@ -113,6 +113,33 @@ def test_signatures_of_linked_sets_agree():
         assert sum(x == y for x, y in zip(one, two)) >= ngram_join.AGREE
 
 
+def test_hot_lanes_are_cut_into_blocks(spark):
+    met = spark.createDataFrame([(1, k) for k in range(300)] + [(2, 5), (2, 6), (3, 6), (3, 7), (3, 8)], "lane bigint, number bigint")
+    tasks: dict = {}
+    for r in ngram_join._dealt_lanes(met, 4, 40).collect():
+        tasks.setdefault((r.slot, r.i, r.j), []).append((r.lane, r.number))
+    assert max(map(len, tasks.values())) <= 2 * 2 * 40
+    pairs = {(lane, *sorted((a, b))) for t in tasks.values() for lane, a in t for other, b in t if lane == other and a != b}
+    assert pairs == {(1, a, b) for a in range(300) for b in range(a + 1, 300)} | {(2, 5, 6), (3, 6, 7), (3, 6, 8), (3, 7, 8)}
+    # Families of alike sets that share nothing but the lane: the blocks give the components of the whole lane.
+    draw = np.random.default_rng(1)
+    base = draw.integers(0, 256, (6, ngram_join.HASHES))
+    sign = np.array([np.where(draw.random(ngram_join.HASHES) < 0.2, draw.integers(0, 256, ngram_join.HASHES), base[k % 6]) for k in range(300)], np.uint8)
+    signatures = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(sign)], "number bigint, signature binary")
+    whole, cut = ({frozenset(x) for x in joined(300, ngram_join._candidates(met.where("lane = 1"), signatures, 4, n).collect())} for n in (2048, 40))
+    assert whole == cut == {frozenset(range(k, 300, 6)) for k in range(6)}
+
+
+def joined(n, links):
+    group = {k: {k} for k in range(n)}
+    for a, b in links:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for k in group[b]:
+                group[k] = group[a]
+    return group.values()
+
+
 def test_verify_sets_joins_what_is_linked_only():
     sets = [np.arange(100, dtype=np.uint64), np.arange(10, 110, dtype=np.uint64), np.arange(40, 140, dtype=np.uint64), np.arange(1000, 1005, dtype=np.uint64)]
     assert verify_sets(sets, np.arange(4), 80).tolist() == [[0, 1]]
