@@ -7,6 +7,7 @@ from gridyield.llm.queries_language import op7_language_id
 from gridyield.llm.queries_ngram import op6_ngram_join
 from gridyield.llm.queries_pieces import op3_sentence_pieces
 from gridyield.llm.queries_suffix import op10_suffix_dedup
+from gridyield.llm.queries_superkmer import OP12_SQL, op12_superkmer_dedup
 from gridyield.llm.queries_tokens import op8_token_files, op9_best_fit_packing
 from gridyield.llm.queries_url import OP5_SQL, op5_url_filter
 from gridyield.llm.queries_vectors import op1_embedding_dedup, op4_nearest_neighbours
@@ -22,7 +23,9 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op5_url_filter": op5_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_superkmer_dedup": op12_superkmer_dedup,
 }
 ORACLES = {
     "op5_url_filter": OP5_SQL,
+    "op12_superkmer_dedup": OP12_SQL,
 }
