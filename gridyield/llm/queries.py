@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gridyield.llm.queries_collocations import OP13_SQL, op13_collocations
 from gridyield.llm.queries_license import op2_license_scan
 from gridyield.llm.queries_language import op7_language_id
 from gridyield.llm.queries_ngram import op6_ngram_join
@@ -24,8 +25,10 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op12_superkmer_dedup": op12_superkmer_dedup,
+    "op13_collocations": op13_collocations,
 }
 ORACLES = {
     "op5_url_filter": OP5_SQL,
     "op12_superkmer_dedup": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
