@@ -87,12 +87,17 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk: int, words: int) -> Iterat
         yield flush()
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
-    forward, _ = powers(len(data) + 1)
-    random = mix(BYTE + np.uint64(seed))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(random[data] * forward[:-1], out=sums[1:])
-    return mix(span_hash(sums, start, end) + (end - start).astype(np.uint64) * STEP)
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int, together: int = 1 << 16) -> np.ndarray:
+    """64-bit hashes of the words, some at a time because the sums take many bytes for each byte of text."""
+    random, out = mix(BYTE + np.uint64(seed)), np.empty(len(start), np.uint64)
+    for a in range(0, len(start), together):
+        first, last = start[a:a + together], end[a:a + together]
+        some = data[first[0]:last[-1]]
+        forward, _ = powers(len(some) + 1)
+        sums = np.zeros(len(some) + 1, np.uint64)
+        np.cumsum(random[some] * forward[:-1], out=sums[1:])
+        out[a:a + together] = mix(span_hash(sums, first - first[0], last - first[0]) + (last - first).astype(np.uint64) * STEP)
+    return out
 
 
 def _words(seed: int, chunk: int):
