@@ -11,6 +11,8 @@ from gridyield.functions import units
 from gridyield.operators import accumulation, alignment, climate, interpolation, masking
 from gridyield.operators.filters import select_period
 from gridyield.plans import reanalysis, regional
+from gridyield.session import shared_path
+from gridyield.sources import sinks, tables
 
 # --- running totals -----------------------------------------------------------------------------------------
 
@@ -127,6 +129,29 @@ def _(d):
     return alignment.align_inner(d.component_u, d.component_v.select("cell", "t", "vas"))
 
 
+@case("align_several_variables", "component_u component_v weather_grid", "cell t ~uas ~vas ~rsds", """
+    select u.cell, u.t, u.uas, v.vas, w.rsds from component_u u join component_v v on u.cell = v.cell and u.t = v.t
+      join weather_grid w on w.cell = u.cell and w.t = u.t""")
+def _(d):
+    rsds = d.weather_grid.select("cell", "t", "rsds")
+    return alignment.combine({"uas": d.component_u, "vas": d.component_v, "rsds": rsds}, strict=False, tolerance=1.0)
+
+
+@case("combine_delivered_variables", "weather_grid", "cell ~lat ~lon t ~rsds ~tas ~uas",
+      "select cell, lat, lon, t, rsds, tas, uas from weather_grid")
+def _(d):
+    return alignment.combine({v: d.weather_grid.select("cell", "lat", "lon", "t", v) for v in ("rsds", "tas", "uas")})
+
+
+@case("alignment_report", "component_u component_v", "variable #n_rows #n_kept #n_lost #n_doubled", """
+    select 'uas' as variable, count(*) as n_rows, count(v.t) as n_kept, count(*) - count(v.t) as n_lost, 0 as n_doubled
+    from component_u u left join component_v v on u.cell = v.cell and u.t = v.t
+    union all select 'vas', count(*), count(u.t), count(*) - count(u.t), 0
+    from component_v v left join component_u u on u.cell = v.cell and u.t = v.t""")
+def _(d):
+    return alignment.alignment_report({"uas": d.component_u, "vas": d.component_v})
+
+
 SPATIAL_SQL = """
     select coalesce(a.cell, b.cell) as cell, case when b.cell is null then 'missing_in_other' when a.cell is null then 'missing_in_reference'
         when abs(a.lat - b.lat) > 1e-6 then 'latitude_differs' when abs(a.lon - b.lon) > 1e-6 then 'longitude_differs' end as issue
@@ -291,6 +316,39 @@ def _(d):
     return reanalysis.solar(weather, d.land_mask, "2024", "2")
 
 
+JOB_SQL = ("select s.cell, s.t, case when m.is_land then s.cf end as cf from ("
+           + solar_sql(f"""select cell, lat, lon, t, increment / 3600000.0e0 as ghi_kw, tas - 273.15e0 as tas_c, uas, vas
+               from ({increment_sql('accum_months', '0.0e0')}) i where month(t) = 2""")
+           + ") s join land_mask m on m.cell = s.cell")
+
+
+@case("reanalysis_solar_job_tails", "accum_months land_mask", "cell t ~cf", JOB_SQL)
+def _(d):
+    # Months with their last steps on shared storage; the job reads February, and of January the last steps only.
+    folder = shared_path(d.spark, "reanalysis")
+    weather = d.accum_months.withColumnsRenamed({"tas": "t2m", "uas": "u10", "vas": "v10"})
+    dated = weather.withColumns({"year": F.year("t"), "month": F.month("t")})
+    dated.write.partitionBy("year", "month").parquet(f"{folder}/months")
+    stored = d.spark.read.parquet(f"{folder}/months")
+    sinks.write_month_tails(stored, f"{folder}/tails")
+    tails = tables.tails_before(d.spark, f"{folder}/tails", "2024", "2")
+    return reanalysis.solar(stored, d.land_mask, "2024", "2", tails=tails)
+
+
+@case("reanalysis_solar_job_separate", "accum_months land_mask", "cell t ~cf", JOB_SQL)
+def _(d):
+    weather = d.accum_months.withColumnsRenamed({"tas": "t2m", "uas": "u10", "vas": "v10"})
+    delivered = {v: weather.select("cell", "lat", "lon", "t", v) for v in ("ssrd", "t2m", "u10", "v10")}
+    return reanalysis.solar(delivered, d.land_mask, "2024", "2")
+
+
+@case("month_tails", "accum_months", "cell #year #month t ~ssrd", """
+    select cell, year(t) as year, month(t) as month, t, ssrd from accum_months
+    qualify row_number() over (partition by cell, year(t), month(t) order by t desc) = 1""")
+def _(d):
+    return accumulation.month_tails(d.accum_months, "ssrd")
+
+
 @case("reanalysis_wind_job", "accum_grid land_mask", "cell t ~cf", "select s.cell, s.t, case when m.is_land then s.cf end as cf from ("
       + wind_sql("select cell, t, uas, vas from accum_grid", "sqrt(uas * uas + vas * vas)")
       + ") s join land_mask m on m.cell = s.cell")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridyield.functions.calendar import time_chunk
 from gridyield.functions.nulls import at_least
-from gridyield.operators.neighbours import with_previous
+from gridyield.operators.neighbours import with_carried, with_previous
 
 POLICIES = ("zero", "nan", "current")
 
@@ -23,6 +23,7 @@ def deaccumulate(
     policy: str = "zero",
     output: str = "increment",
     chunk: Column | None = None,
+    tails: DataFrame | None = None,
 ) -> DataFrame:
     """Increments of a running total that restarts at 01:00 UTC every day.
 
@@ -30,21 +31,26 @@ def deaccumulate(
     row, if that lies in the same or the directly preceding month. ``policy`` decides every other row, such as the
     first of a key and the first after a missing month. A negative difference falls
     back to the total; what is still negative becomes 0. To process a range of months, pass one more
-    month before it and filter afterwards.
+    month before it and filter afterwards, or its last steps as ``tails`` (see ``month_tails``): then ``df`` is read once and
+    needs no rows of the month before.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}: {policy!r}")
     total = F.col(value).cast("double")  # stored in single precision
     # A missing month leaves no predecessor: it must lie in the same or the directly preceding month.
-    month = lambda c: F.year(c) * 12 + F.month(c)
-    near = month(F.col(t)) - month(F.col(f"previous_{t}")) <= 1
+    near = _month_number(F.col(t)) - _month_number(F.col(f"previous_{t}")) <= 1
     first = {"zero": F.lit(0.0), "nan": F.lit(None).cast("double"), "current": total}[policy]
     step = (
         F.when(F.hour(t) == 1, total)
         .when(F.col("has_previous") & near, total - F.col(f"previous_{value}"))
         .otherwise(first)
     )
-    found = with_previous(df, keys, t, [value, t], time_chunk(F.col(t)) if chunk is None else chunk)
+    if tails is None:
+        found = with_previous(df, keys, t, [value, t], time_chunk(F.col(t)) if chunk is None else chunk)
+    else:
+        # The last step of a month only ever precedes the first of the next, so it goes to that month's window.
+        month = _month_number(F.col(t))
+        found = with_carried(df, tails.select(*keys, t, value, (month + 1).alias("_to")), keys, t, [value, t], month)
     return (
         found.withColumn("_step", step)
         .withColumn(output, at_least(F.when(F.col("_step") < 0, total).otherwise(F.col("_step")), 0.0))
@@ -52,6 +58,19 @@ def deaccumulate(
     )
 
 
+def _month_number(t: Column) -> Column:
+    return F.year(t) * 12 + F.month(t)
+
+
+def month_tails(df: DataFrame, value: str, keys: Sequence[str] = ("cell",), t: str = "t") -> DataFrame:
+    """The last step of every key and month: keys, year, month, t, value.
+
+    One row for several hundred. Kept next to the months (``sinks.write_month_tails``) it is all that the month behind needs.
+    """
+    months = df.groupBy(*keys, F.year(t).alias("year"), F.month(t).alias("month"))
+    return months.agg(F.max_by(value, t).alias(value), F.max(t).alias(t)).select(*keys, "year", "month", t, value)
+
+
 def monthly_difference(
     df: DataFrame, value: str, keys: Sequence[str] = ("cell",), t: str = "t", output: str = "increment"
 ) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridyield.constants import GRID_TOLERANCE
@@ -16,6 +18,70 @@ def align_inner(left: DataFrame, right: DataFrame, on: Sequence[str] = ("cell",
     return left.join(right, list(on), "inner")
 
 
+def combine(
+    variables: dict[str, DataFrame], keys: Sequence[str] = ("cell",), t: str = "t", strict: bool = True,
+    lost: Observation | None = None, tolerance: float = GRID_TOLERANCE,
+) -> DataFrame:
+    """Variables delivered as tables of their own side by side: keys, t, lat, lon where given, and a column per variable.
+
+    All tables meet in one aggregate on (keys, t), whose counts and extremes are also the check of the grids: a step that a variable has twice
+    and coordinates further apart than ``tolerance`` fail the job while it runs. With ``strict`` so does a step that a variable lacks;
+    without, only rows that all variables have stay, and ``lost`` observes how many rows each
+    variable was missing in (``missing_<name>``) and how many went (``lost``). Nothing runs while the plan is built.
+    """
+    names, on = list(variables), [*keys, t]
+    kinds = {n: dict(df.dtypes)[n] for n, df in variables.items()}
+    places = [c for c in ("lat", "lon") if any(c in df.columns for df in variables.values())]
+
+    def stacked(name: str, df: DataFrame) -> DataFrame:
+        there = [F.col(c).cast("double") if c in df.columns else F.lit(None).cast("double").alias(c) for c in places]
+        values = [F.col(n) if n == name else F.lit(None).cast(kinds[n]).alias(n) for n in names]
+        return df.select(*on, *there, *values, F.lit(names.index(name)).alias("_of"))
+
+    rows = reduce(DataFrame.unionByName, [stacked(n, df) for n, df in variables.items()])
+    met = rows.groupBy(*on).agg(
+        *[F.min(c).alias(c) for c in places],
+        *[(F.max(c) - F.min(c)).alias(f"_spread_{c}") for c in places],
+        *[F.max(n).alias(n) for n in names],
+        *[F.count_if(F.col("_of") == k).alias(f"_n_{n}") for k, n in enumerate(names)],
+    )
+    every = reduce(Column.__and__, [F.col(f"_n_{n}") > 0 for n in names])
+    if lost is not None:
+        counts = [F.count_if(F.col(f"_n_{n}") == 0).alias(f"missing_{n}") for n in names]
+        met = met.observe(lost, *counts, F.count_if(~every).alias("lost"))
+    if not strict:
+        met = met.where(every)
+    where = F.concat_ws(", ", *[F.col(c).cast("string") for c in on])
+    checks = [(F.col(f"_n_{n}") > 1, f"{n} has a step twice at ") for n in names]
+    checks += [(F.col(f"_n_{n}") == 0, f"{n} lacks a step at ") for n in names] if strict else []
+    checks += [(F.col(f"_spread_{c}") > tolerance, f"the variables differ in {c} at ") for c in places]
+    problem = F.coalesce(*[F.when(bad, F.concat(F.lit(text), where)) for bad, text in checks])
+    return met.select(*on, *places, *[fail_if(problem, F.col(n), kinds[n]).alias(n) for n in names])
+
+
+def alignment_report(variables: dict[str, DataFrame], keys: Sequence[str] = ("cell",), t: str = "t") -> DataFrame:
+    """What an alignment of the variables keeps and loses: (variable, n_rows, n_kept, n_lost, n_doubled), one aggregate for all."""
+    names, on = list(variables), [*keys, t]
+    rows = reduce(DataFrame.unionByName, [df.select(*on, F.lit(n).alias("variable")) for n, df in variables.items()])
+    steps = rows.groupBy(*on).agg(*[F.count_if(F.col("variable") == n).alias(f"_n_{k}") for k, n in enumerate(names)])
+    every = reduce(Column.__and__, [F.col(f"_n_{k}") > 0 for k in range(len(names))])
+    counts = F.explode(F.array(*[F.struct(F.lit(n).alias("variable"), F.col(f"_n_{k}").alias("n")) for k, n in enumerate(names)])).alias("x")
+    return (
+        steps.select(every.alias("_every"), counts).groupBy(F.col("x.variable").alias("variable"))
+        .agg(
+            F.sum("x.n").alias("n_rows"),
+            F.coalesce(F.sum(F.when(F.col("_every"), F.col("x.n"))), F.lit(0)).alias("n_kept"),
+            F.coalesce(F.sum(F.when(~F.col("_every"), F.col("x.n"))), F.lit(0)).alias("n_lost"),
+            F.count_if(F.col("x.n") > 1).alias("n_doubled"),
+        )
+    )
+
+
+def fail_if(problem: Column, value: Column, kind: str) -> Column:
+    """``value``, or an error that ends the job where ``problem`` is a text. It stands in a projection, so no optimizer moves it."""
+    return F.when(problem.isNull(), value).otherwise(F.raise_error(problem).cast(kind))
+
+
 def time_axis_report(reference: DataFrame, other: DataFrame, t: str = "t") -> DataFrame:
     """Time steps present on one side only: (t, issue)."""
     a = reference.select(t).distinct().withColumn("_a", F.lit(True))

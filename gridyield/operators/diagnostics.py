@@ -13,6 +13,7 @@ from gridyield.functions.geo import lon_0360
 from gridyield.operators.filters import block_means, on_phase, with_step
 from gridyield.operators.masking import attach_mask
 from gridyield.operators.photovoltaic import add_solar_cf
+from gridyield.operators.regions import cell_means_and_steps
 from gridyield.operators.windpower import add_wind_cf
 
 
@@ -31,14 +32,12 @@ def cf_statistics(df: DataFrame, value: str = "cf", keys: Sequence[str] = ()) ->
 def region_log(
     df: DataFrame, keys: Sequence[str] = ("region",), value: str = "cf", t: str = "t", cell_keys=("lat", "lon")
 ) -> DataFrame:
-    """Per region: time steps, valid cells, mean of cell means and bounding box.
-
-    Two passes over few columns: cell means, and the time axis.
-    """
+    """Per region: time steps, valid cells, mean of cell means and bounding box, all from one scan."""
     keys = list(keys)
-    cells = df.groupBy(*keys, *cell_keys).agg(F.avg(value).alias(value))
+    cells = cell_means_and_steps(df, keys, cell_keys, value, t)
     lon = lon_0360(F.col("lon"))
-    boxes = cells.groupBy(*keys).agg(
+    return cells.groupBy(*keys).agg(
+        F.count_if("_step").alias("n_time"),
         F.count(value).alias("n_valid"),
         F.avg(value).alias("mean_cf"),
         F.min("lat").alias("lat_min"),
@@ -46,8 +45,6 @@ def region_log(
         F.min(lon).alias("lon_min_0360"),
         F.max(lon).alias("lon_max_0360"),
     )
-    steps = df.select(*keys, t).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n_time"))
-    return boxes.join(steps, keys)
 
 
 def formatted_region_log(log: DataFrame) -> DataFrame:

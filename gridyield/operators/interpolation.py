@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridyield.functions.calendar import time_chunk
+from gridyield.operators.alignment import fail_if
 from gridyield.operators.neighbours import bracket
 from gridyield.operators.sizing import broadcast_if_small
 
@@ -50,27 +51,36 @@ def interpolate(
     t: str = "t",
     policy: str = "nearest",
     chunk: Column | None = None,
+    check: bool = False,
 ) -> DataFrame:
     """Interpolate ``values`` of ``source`` to the target rows; every key may have its own time axis.
 
     ``nearest`` repeats the first and last source value outside the source range; ``nan`` gives NULL
     there and on exact hits of the first and last source step. A NULL in a bracket gives NULL.
-    ``t`` is a timestamp, or a number of days on one absolute axis for other calendars.
+    ``t`` is a timestamp, or a number of days on one absolute axis for other calendars. ``check`` ends the job where a key has no
+    source row at all, or has a step twice in a stretch of time that targets fall into.
     """
     _check(policy)
     numeric = _is_numeric(targets, t)
-    found = bracket(targets, source, keys, t, values, _default_chunk(t, numeric) if chunk is None else chunk)
+    found = bracket(targets, source, keys, t, values, _default_chunk(t, numeric) if chunk is None else chunk, check)
     low, high = F.coalesce("left", "right"), F.coalesce("right", "left")
     staged = found.withColumns({"_low": low, "_high": high}).withColumn(
         "_w", _weight(F.col(t), F.col(f"_low.{t}"), F.col(f"_high.{t}"), numeric)
     )
     inside = (F.col(t) > F.col("first_order")) & (F.col(t) < F.col("last_order"))
+    problem = F.lit(None).cast("string")
+    if check:
+        at = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+        problem = F.when(F.col("_low").isNull(), F.concat(F.lit("no source rows for "), at)).when(
+            F.col("doubled"), F.concat(F.lit("the time axis does not increase at "), at)
+        )
     outputs = {}
     for v in values:
         mixed = F.col(f"_low.{v}") * (1.0 - F.col("_w")) + F.col(f"_high.{v}") * F.col("_w")
-        outputs[v] = mixed if policy == "nearest" else F.when(inside, mixed)
+        mixed = mixed if policy == "nearest" else F.when(inside, mixed)
+        outputs[v] = fail_if(problem, mixed, "double") if check else mixed
     return staged.withColumns(outputs).drop(
-        "left", "right", "first_order", "last_order", "_low", "_high", "_w"
+        "left", "right", "first_order", "last_order", "doubled", "_low", "_high", "_w"
     )
 
 
@@ -109,12 +119,14 @@ def interpolate_shared_axis(
     values: Sequence[str],
     keys: Sequence[str] = ("cell",),
     t: str = "t",
+    check: bool = False,
 ) -> DataFrame:
     """Interpolation for dense grids, where all cells share one time axis.
 
     The bracket table depends on the axes only, so it is tiny and broadcast: each source row is sent
     once to the one or two target times it contributes to and summed there. One shuffle on
-    (key, target time), which is also the key of the join that follows.
+    (key, target time), which is also the key of the join that follows. ``check`` counts what contributed in the same
+    aggregate and ends the job where a cell has a step twice or lacks one that the others have.
     """
     contributions = (
         source.select(*keys, F.col(t).alias("t_source"), *values)
@@ -122,10 +134,18 @@ def interpolate_shared_axis(
         .groupBy(*keys, F.col("t_target").alias(t))
         .agg(
             F.max("n").alias("_n"),
+            *([F.count_if(F.col("t_source") <= F.col("t_target")).alias("_before"), F.count(F.lit(1)).alias("_rows")] if check else []),
             *[F.sum(F.col("weight") * F.col(v)).alias(f"_sum_{v}") for v in values],
             *[F.count(v).alias(f"_count_{v}") for v in values],
         )
     )
-    return contributions.select(
-        *keys, t, *[F.when(F.col(f"_count_{v}") == F.col("_n"), F.col(f"_sum_{v}")).alias(v) for v in values]
-    )
+    whole = {v: F.when(F.col(f"_count_{v}") == F.col("_n"), F.col(f"_sum_{v}")) for v in values}
+    if check:
+        at = F.concat_ws(", ", *[F.col(k).cast("string") for k in [*keys, t]])
+        # Of two steps one lies before the target and one behind it; a single one counts on either side.
+        lacks = (F.col("_rows") < F.col("_n")) | ((F.col("_n") == 2) & F.col("_before").isin(0, 2) & (F.col("_rows") == 2))
+        problem = F.when(lacks, F.concat(F.lit("a step is missing around "), at)).when(
+            F.col("_rows") > F.col("_n"), F.concat(F.lit("the time axis does not increase around "), at)
+        )
+        whole = {v: fail_if(problem, c, "double") for v, c in whole.items()}
+    return contributions.select(*keys, t, *[c.alias(v) for v, c in whole.items()])

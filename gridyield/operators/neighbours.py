@@ -35,10 +35,25 @@ def with_previous(
         .withColumnRenamed("_next", _CHUNK)
         .withColumn(_CARRIED, F.lit(True))
     )
+    return _lagged(rows.unionByName(carried, allowMissingColumns=True), keys, order, columns)
+
+
+def with_carried(
+    df: DataFrame, carried: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], chunk: Column
+) -> DataFrame:
+    """As ``with_previous``, with the rows that matter across a border given: keys, ``order``, values and ``_to``, the chunk they go to.
+
+    ``df`` is read once. A carried row whose chunk has no rows goes nowhere.
+    """
+    rows = df.withColumn(_CHUNK, chunk).withColumn(_CARRIED, F.lit(False))
+    more = carried.withColumnRenamed("_to", _CHUNK).withColumn(_CARRIED, F.lit(True))
+    return _lagged(rows.unionByName(more, allowMissingColumns=True), list(keys), order, columns)
+
+
+def _lagged(rows: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
     within = W.partitionBy(*keys, _CHUNK).orderBy(order)
     return (
-        rows.unionByName(carried, allowMissingColumns=True)
-        .withColumn("has_previous", F.lag(F.lit(True), 1, False).over(within))
+        rows.withColumn("has_previous", F.lag(F.lit(True), 1, False).over(within))
         .withColumns({f"previous_{c}": F.lag(c).over(within) for c in columns})
         .where(~F.col(_CARRIED))
         .drop(_CHUNK, _CARRIED)
@@ -52,12 +67,14 @@ def bracket(
     order: str,
     values: Sequence[str],
     chunk: Column,
+    check: bool = False,
 ) -> DataFrame:
     """For every target row the nearest source rows at or before (``left``) and at or after (``right``).
 
     ``left``/``right`` are structs of the order value and ``values``; ``first_order``/``last_order``
     tell whether a source row exists before and after. Source rows with NULL values take part: brackets
-    follow the axis, not the values. ``chunk`` is an expression over ``order`` that grows with it.
+    follow the axis, not the values. ``chunk`` is an expression over ``order`` that grows with it. ``check`` adds ``doubled``:
+    whether an order value comes twice in the source rows of the key and chunk.
     """
     keys, values = list(keys), list(values)
     names = [order, *values]
@@ -108,12 +125,16 @@ def bracket(
     up = W.partitionBy(*keys, _CHUNK).orderBy(F.col(_O).asc())
     down = W.partitionBy(*keys, _CHUNK).orderBy(F.col(_O).desc())
     whole = W.partitionBy(*keys, _CHUNK)
+    both = goals.unionByName(sources, allowMissingColumns=True)
+    if check:
+        before = F.last(f"_source.{order}", ignorenulls=True).over(up.rowsBetween(W.unboundedPreceding, -1))
+        both = both.withColumn("_again", F.coalesce(before == F.col(f"_source.{order}"), F.lit(False)))
+        both = both.withColumn("doubled", F.max("_again").over(whole))
     return (
-        goals.unionByName(sources, allowMissingColumns=True)
-        .withColumn("left", F.last("_source", ignorenulls=True).over(up))
+        both.withColumn("left", F.last("_source", ignorenulls=True).over(up))
         .withColumn("right", F.last("_source", ignorenulls=True).over(down))
         .withColumn("first_order", F.min(f"_source.{order}").over(whole))
         .withColumn("last_order", F.max(f"_source.{order}").over(whole))
         .where(F.col("_target").isNotNull())
-        .select(*keys, "_target.*", "left", "right", "first_order", "last_order")
+        .select(*keys, "_target.*", "left", "right", "first_order", "last_order", *(["doubled"] if check else []))
     )

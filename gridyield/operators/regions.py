@@ -30,6 +30,21 @@ def timestep_counts(df: DataFrame, keys: Sequence[str], t: str = "t") -> DataFra
     )
 
 
+def cell_means_and_steps(
+    df: DataFrame, keys: Sequence[str], cells: Sequence[str], value: str, t: str
+) -> DataFrame:
+    """Means per (keys, cells) and the time steps per keys from one scan: keys, cells, value, ``_step``.
+
+    Two grouping sets of one aggregate. Rows with ``_step`` stand for one time step each and have no cell; the others are cell means.
+    """
+    sets = [[*keys, *cells], [*keys, t]]
+    grouped = df.groupingSets([[F.col(c) for c in one] for one in sets], *keys, *cells, t)
+    # grouping(t) is 0 in the set that has t
+    return grouped.agg(F.avg(value).alias("_mean"), (F.grouping(t) == 0).alias("_step")).select(
+        *keys, *cells, F.when(~F.col("_step"), F.col("_mean")).alias(value), "_step"
+    )
+
+
 def region_annual_mean(
     df: DataFrame,
     mask: DataFrame | None = None,
@@ -42,19 +57,21 @@ def region_annual_mean(
     """Two-stage mean: over the year per cell, then unweighted over the land cells of the region.
 
     Both stages merge partial sums map-side, so a region with most of the rows is no hot spot. The
-    mask meets cell means, not time steps. Region-years without a valid cell stay, with a NULL mean.
+    mask meets cell means, not time steps. Time steps are counted in the same scan unless ``timesteps`` gives them. Region-years without a valid cell stay, with a NULL mean.
     """
     keys = list(keys)
-    cells = cell_year_mean(df, keys, value, cell, t)
+    if timesteps is None:
+        cells = cell_means_and_steps(_dated(df, t), [*keys, "year"], [cell], value, t)
+    else:
+        cells = cell_year_mean(df, keys, value, cell, t).withColumn("_step", F.lit(False))
     if mask is not None:
         cells = attach_mask(cells, mask, [cell]).withColumn(value, F.when(F.col("is_land"), F.col(value)))
     means = cells.groupBy(*keys, "year").agg(
-        F.avg(value).alias("mean_cf"), F.count(value).alias("n_land_cells")
-    )
-    steps = timestep_counts(df, keys, t) if timesteps is None else timesteps
-    return means.join(steps, [*keys, "year"]).select(
-        *keys, "year", "mean_cf", "n_timesteps", "n_land_cells"
+        F.avg(value).alias("mean_cf"), F.count_if("_step").alias("n_timesteps"), F.count(value).alias("n_land_cells")
     )
+    if timesteps is not None:
+        means = means.drop("n_timesteps").join(timesteps, [*keys, "year"])
+    return means.select(*keys, "year", "mean_cf", "n_timesteps", "n_land_cells")
 
 
 def snapped_cell_means(
@@ -69,13 +86,16 @@ def snapped_cell_means(
     The global table is reduced to one row per lattice cell and year before it meets the regions, in
     one scan that serves all of them; a lattice cell behind several region cells counts several times.
     """
-    wanted = region_cells.select(F.col("gi_lat").alias("lat_idx"), F.col("gi_lon").alias("lon_idx")).distinct()
-    needed = _dated(global_cf, t).join(broadcast_if_small(wanted), ["lat_idx", "lon_idx"], "left_semi")
-    yearly = needed.groupBy(*keys, "year", "lat_idx", "lon_idx").agg(F.avg(value).alias(value))
+    yearly = _dated(global_cf, t).join(broadcast_if_small(_lattice_cells(region_cells)), ["lat_idx", "lon_idx"], "left_semi")
+    yearly = yearly.groupBy(*keys, "year", "lat_idx", "lon_idx").agg(F.avg(value).alias(value))
     cells = region_cells.withColumnsRenamed({"gi_lat": "lat_idx", "gi_lon": "lon_idx"})
     return cells.join(yearly, ["lat_idx", "lon_idx"])
 
 
+def _lattice_cells(region_cells: DataFrame) -> DataFrame:
+    return region_cells.select(F.col("gi_lat").alias("lat_idx"), F.col("gi_lon").alias("lon_idx")).distinct()
+
+
 def region_annual_mean_snapped(
     global_cf: DataFrame,
     region_cells: DataFrame,
@@ -91,16 +111,38 @@ def region_annual_mean_snapped(
     ``is_land`` at the cell's own coordinates. Every region of the table gets a row per year.
     """
     keys = list(keys)
-    cells = snapped_cell_means(global_cf, region_cells, keys, value, t)
     kept = F.when(F.col("is_land"), F.col(value)) if use_mask else F.col(value)
+    if timesteps is None:
+        # One scan: lattice cells that no region needs keep their time steps only.
+        needed = _lattice_cells(region_cells).withColumn("_needed", F.lit(True))
+        dated = _dated(global_cf, t).join(broadcast_if_small(needed), ["lat_idx", "lon_idx"], "left")
+        dated = dated.withColumns({c: F.when(F.col("_needed"), F.col(c)) for c in ("lat_idx", "lon_idx", value)})
+        yearly = cell_means_and_steps(dated, [*keys, "year"], ["lat_idx", "lon_idx"], value, t)
+        # Steps and the cells of a year come together; a year's cells travel as one row each, its steps as one number.
+        cells = region_cells.withColumnsRenamed({"gi_lat": "lat_idx", "gi_lon": "lon_idx"})
+        met = yearly.join(cells, ["lat_idx", "lon_idx"], "left")
+        per_region = met.groupBy(*keys, "year", "region").agg(
+            F.avg(kept).alias("mean_cf"), F.count(kept).alias("n_land_cells"), F.count_if("_step").alias("_steps")
+        )
+        # The group without a region holds the steps; it hands them to the regions of its year, whose number the result has anyway.
+        found = F.collect_list(F.when(F.col("region").isNotNull(), F.struct("region", "mean_cf", "n_land_cells")))
+        years = per_region.groupBy(*keys, "year").agg(F.max("_steps").alias("n_timesteps"), found.alias("_found"))
+        frame = region_cells.select("region").distinct().groupBy().agg(F.collect_set("region").alias("_regions"))
+        kind = dict(region_cells.dtypes)["region"]
+        by_region = F.map_from_entries(F.transform("_found", lambda x: F.struct(x["region"], x)))
+        spine = years.withColumn("_by", by_region).withColumn("region", F.explode(frame.select("_regions").scalar().cast(f"array<{kind}>")))
+        mine = F.try_element_at("_by", F.col("region"))
+        return spine.select(
+            *keys, "region", "year", mine["mean_cf"].alias("mean_cf"), "n_timesteps", F.coalesce(mine["n_land_cells"], F.lit(0)).alias("n_land_cells")
+        )
+    cells = snapped_cell_means(global_cf, region_cells, keys, value, t)
     means = cells.groupBy(*keys, "region", "year").agg(
         F.avg(kept).alias("mean_cf"), F.count(kept).alias("n_land_cells")
     )
-    steps = timestep_counts(global_cf, keys, t) if timesteps is None else timesteps
     regions = region_cells.select("region").distinct()
     # regions x years is the shape of the result: both sides are the result's own axes
     frame = regions.groupBy().agg(F.collect_set("region").alias("_regions"))
-    spine = steps.withColumn("region", F.explode(frame.select("_regions").scalar()))
+    spine = timesteps.withColumn("region", F.explode(frame.select("_regions").scalar()))
     return (
         spine.join(means, [*keys, "region", "year"], "left")
         .select(

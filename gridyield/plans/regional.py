@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridyield.functions import units as U
-from gridyield.operators.alignment import align_inner, require_partners
+from gridyield.operators.alignment import align_inner, fail_if
 from gridyield.operators.filters import select_around, select_period
 from gridyield.operators.interpolation import bracket_table, interpolate, interpolate_shared_axis
 from gridyield.operators.masking import apply_land_mask
@@ -43,7 +43,8 @@ def solar(
     kept as tables of their own (column t) spare a pass over the data. Units given as None are judged
     by magnitude per ``file_keys``: columns of ``flux`` that tell the files apart, and of ``states``, where they are
     judged before the join. ``missing_wind="zero_cf"`` keeps missing wind apart from calm after its conversion.
-    ``check`` refuses cells without states and doubled steps, before anything is computed.
+    ``check`` ends the job at cells without states, missing and doubled steps. The counts are part of the aggregates and windows
+    that interpolate, so nothing runs before the job and nothing is read twice.
     """
     if irradiance_units is None or temperature_units is None:
         if not file_keys:
@@ -51,16 +52,20 @@ def solar(
     wanted = select_period(flux, years, months) if years else flux
     around = select_around(states, years, months, pad_hours=pad_hours) if years else states
     names = ["tas", "sfcWind"] if scalar_wind else ["tas", "uas", "vas"]
-    if check:
-        require_partners(wanted, {"states": around}, keys, shared_axis=shared_axis)
     if shared_axis:
         table = bracket_table(
             (wanted if flux_axis is None else flux_axis).select("t").distinct(),
             (around if state_axis is None else state_axis).select("t").distinct(),
         )
-        aligned = wanted.join(interpolate_shared_axis(table, around, names, keys), [*keys, "t"], "left")
+        found = interpolate_shared_axis(table, around, names, keys, check=check).withColumn("_met", F.lit(True))
+        aligned = wanted.join(found, [*keys, "t"], "left")
+        if check:
+            at = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+            problem = F.when(F.col("_met").isNull(), F.concat(F.lit("no states for "), at))
+            aligned = aligned.withColumns({n: fail_if(problem, F.col(n), "double") for n in names})
+        aligned = aligned.drop("_met")
     else:
-        aligned = interpolate(wanted, around, names, keys)
+        aligned = interpolate(wanted, around, names, keys, check=check)
     # with zero_wind the conversion turns missing into calm, with zero_cf it stays missing
     calm = missing_wind == "zero_wind"
     aligned = aligned.withColumns({w: U.wind_ms(F.col(w), F.lit(wind_units), calm) for w in names[1:]})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     context.setCheckpointDir(folder)
     return folder
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that the driver and all executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridyield import schemas
+from gridyield.operators.accumulation import month_tails
 from gridyield.operators.coverage import pending
 from gridyield.operators.diagnostics import formatted_region_log
 from gridyield.operators.masking import apply_land_mask
@@ -127,6 +128,20 @@ def write_cf(
     )
 
 
+def write_month_tails(
+    df: DataFrame, path: str, value: str = "ssrd", keys: Sequence[str] = ("cell",), t: str = "t"
+) -> None:
+    """The last step of every key and month next to the months themselves; months in ``df`` replace their former rows."""
+    (
+        month_tails(df, value, keys, t)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
+        .partitionBy("year", "month")
+        .parquet(path)
+    )
+
+
 def write_climatology(df: DataFrame, path: str, provenance: dict[str, str] | None = None) -> None:
     columns = {k: F.lit(v) for k, v in (provenance or {}).items()}
     out = df.withColumns(columns) if columns else df

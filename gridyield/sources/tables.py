@@ -57,5 +57,13 @@ def reanalysis_weather(spark, path, years, months="", with_month_before: bool =
     return df.where((F.col("year") * F.lit(12) + F.col("month")).isin([y * 12 + m for y, m in periods]))
 
 
+def tails_before(spark, path, years, months="") -> DataFrame:
+    """Last steps of the months before the requested ones (``sinks.write_month_tails``); only their folders are read."""
+    first, last = parse_years(years)
+    before = {previous_month(y, m) for y in range(first, last + 1) for m in parse_months(months)}
+    df = spark.read.parquet(path)
+    return df.where((F.col("year") * F.lit(12) + F.col("month")).isin([y * 12 + m for y, m in sorted(before)]))
+
+
 def capacity_factors(spark, path, years=None, months="", **partitions) -> DataFrame:
     return scan(spark, path, schemas.CF, years, months, **partitions)

@@ -220,3 +220,15 @@ def test_hot_region_gives_the_same_means(spark):
     np.testing.assert_allclose(got.loc[cells.index, "mean_cf"], cells["mean"])
     assert (got.loc[cells.index, "n_land_cells"] == cells["count"]).all()
     assert (got.loc[cells.index, "n_timesteps"] == pdf.groupby("region")["t"].nunique()[cells.index]).all()
+
+
+def test_means_and_time_steps_come_from_one_scan(spark, folder, plan, mask):
+    lattice_table(spark).withColumns({"region": F.lit("R"), "cell": F.col("lat_idx") * 1000 + F.col("lon_idx"), "lat": F.lit(1.0), "lon": F.lit(2.0)}).write.parquet(f"{folder}/cf")
+    facts = spark.read.parquet(f"{folder}/cf")
+    cells = spark.createDataFrame([("R", 500, 100, True), ("E", 1, 1, True)], "region string, gi_lat int, gi_lon int, is_land boolean")
+    for job in (
+        regions.region_annual_mean(facts, mask), regions.region_annual_mean_snapped(facts, cells), diagnostics.region_log(facts),
+    ):
+        assert sum("FileScan parquet" in line for line in plan(job).splitlines()) == 1
+    got = {(r["region"], r["year"]): (r["n_timesteps"], r["n_land_cells"]) for r in regions.region_annual_mean_snapped(facts, cells).collect()}
+    assert got == {("R", 2019): (4, 1), ("R", 2020): (4, 1), ("E", 2019): (4, 0), ("E", 2020): (4, 0)}
