@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridyield.llm.common import shuffle_partitions, written
-from gridyield.llm.tokens import encoder
+from gridyield.llm.tokens import KEPT_WORDS, encoder
 
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -28,18 +28,19 @@ PIECES = pa.schema([
 
 
 def encode_pieces(
-    docs: DataFrame, tokenizer: str, context: int, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False
+    docs: DataFrame, tokenizer: str, context: int, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False,
+    kept_words: int = KEPT_WORDS,
 ) -> DataFrame:
     """Pieces of every text: doc_id, piece (from 0), start, length, ids_crc32, and with ``with_ids`` the ids.
 
     Texts of at most ``context`` ids, end id included, are one piece. Longer ones are cut into pieces of
     ``context`` ids, where the first piece takes what is left over. Null and empty texts hold the end id only;
-    without an end id they have no piece.
+    without an end id they have no piece. ``kept_words`` bounds the memory of a worker (see ``tokens``).
     """
     schema = PIECES.append(pa.field("ids", pa.list_(pa.int32()))) if with_ids else PIECES
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(tokenizer), np.array([] if end_id is None else [end_id], "<u4")
+        own, end = encoder(tokenizer, kept_words=kept_words), np.array([] if end_id is None else [end_id], "<u4")
         for batch in batches:
             for k in range(0, len(batch), 256):
                 some, rows = batch.slice(k, 256), []

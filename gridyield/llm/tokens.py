@@ -11,22 +11,24 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import islice
 
 import numpy as np
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 400_000  # kept parts, about 200 bytes each
+KEPT_WORDS = 1_500_000  # kept parts of a worker, about 200 bytes each; the older half makes room for new ones
 TOGETHER = 2_000  # new parts that the library gets at a time
 #: Blanks at which a text is not cut: in front of white space of either library, of marks that some versions count to it, or of the end.
 NO_CUT = re.compile(r" (?=[\s\x1c-\x1f\x85\u180e\u200b-\u200f\u2060\ufeff]|\Z)")
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
-def encoder(path: str, special_as_text: bool = False) -> "Encoder":
-    """One encoder per worker process and file."""
+def encoder(path: str, special_as_text: bool = False, kept_words: int = KEPT_WORDS) -> "Encoder":
+    """One encoder per worker process and file; it keeps as many words as its last caller allows."""
     key = (path, special_as_text)
     if key not in _encoders:
         _encoders[key] = Encoder(path, special_as_text)
+    _encoders[key].kept_words = kept_words
     return _encoders[key]
 
 
@@ -47,6 +49,7 @@ class Encoder:
         added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
+        self.kept_words = KEPT_WORDS
         self.mark = {m: self._whole(m) for m in ".,"}
 
     def size(self) -> int:
@@ -69,7 +72,7 @@ class Encoder:
         return found
 
     def _look_up(self, new: set[str]) -> dict[str, bytes]:
-        """ids of blank + word for words that are not kept; keeps them as long as there is room.
+        """ids of blank + word for words that are not kept; keeps them, and lets the older half of the kept ones go when there are too many.
 
         A word of letters with a full stop or comma behind it is two pieces, so only its letters are encoded.
         """
@@ -81,8 +84,9 @@ class Encoder:
         found = self._encode_parts(wanted)
         for word, stem in stems.items():
             found[word] = (known.get(stem) or found[stem]) + self.mark[word[-1]]
-        if len(known) + len(found) <= KEPT_WORDS:
-            known.update(found)
+        known.update(found)
+        if len(known) > self.kept_words:
+            self.known = dict(islice(known.items(), len(known) - self.kept_words // 2, None))
         return found
 
     def _parts(self, text: str) -> list[str] | None:
