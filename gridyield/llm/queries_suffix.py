@@ -9,4 +9,4 @@ from gridyield.llm.suffix_dedup import removed_repeats
 
 
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return removed_repeats(table(spark, folder, "documents")).drop("kept")
+    return removed_repeats(table(spark, folder, "documents"))

@@ -9,14 +9,16 @@ occurs more than once. The stretch around an anchor reaches as far as any such s
 * The distinct stretches around one gram are sorted as suffixes, in two stages: suffixes smaller than their
   successor directly, the others induced from them bucket by bucket. Neighbours with ``length`` bytes in common
   are repeated strings.
-* A gram with more distinct stretches than one task should hold is sorted in several parts, and the strings
-  that are single in their part meet the other parts by 128-bit names.
+* A gram with more distinct stretches than one task should hold is divided by content: equal strings hold the anchor at the same
+  place, so strings with the anchor at ``BLOCK`` neighbouring places go by the hash of the bytes that all of them share. Where a passage of very many
+  texts ends, that tells the texts apart. What still shares those bytes goes string by string.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,7 @@ GRAM = 160
 SLICE = 1 << 19  # bytes that are searched for anchors at a time
 STRETCHES = 3000  # stretches sorted together
 PART = 10_000  # most stretches of one gram or one first text that are sorted together
+BLOCKS = (16, 1)  # neighbouring places of the anchor that stay together when a gram is divided, and when one of its blocks is
 NO_ID = -(2**63)
 
 
@@ -193,10 +196,15 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(_key(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
 
 
+PLACES = "id bigint, h bigint, start bigint, end bigint, at bigint, gram bigint, name binary"
+PLACE_SCHEMA = pa.schema([
+    ("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("at", pa.int64()), ("gram", pa.int64()), ("name", pa.binary()),
+])
+
+
 def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
-    """id, h, start and end of the stretch, gram, name: a row per anchor."""
+    """id, h, start and end of the stretch, at, gram, name: a row per anchor."""
     before = length - gram
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("gram", pa.int64()), ("name", pa.binary())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -210,8 +218,8 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                 names = [digest(text[a:b], seed=p) for a, b, p in zip(start.tolist(), end.tolist(), (at - start).tolist())]
                 n = len(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, ids[i])), pa.array(np.full(n, h[i])), pa.array(start), pa.array(end), pa.array(value.view(np.int64)), pa.array(names, pa.binary())],
-                    schema=schema,
+                    [pa.array(np.full(n, ids[i])), pa.array(np.full(n, h[i])), pa.array(start), pa.array(end), pa.array(at), pa.array(value.view(np.int64)), pa.array(names, pa.binary())],
+                    schema=PLACE_SCHEMA,
                 )
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +234,32 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    return keyed.mapInArrow(joined, "id bigint, h bigint, start bigint, end bigint, gram bigint, name binary")
+    return keyed.mapInArrow(joined, PLACES)
+
+
+def _divided(length: int, block: int):
+    """As ``_anchor_rows`` for the stretches ``cuts`` of each text, divided by where the strings hold the anchor.
+
+    The gram is now the hash of the bytes that all strings of a block share, the stretch what they cover.
+    """
+
+    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, digest = zstandard.ZstdDecompressor(), xxhash.xxh3_128_digest
+        for batch in small(batches, 200):
+            rows = []
+            for i, h, packed, cuts in zip(*(batch.column(c).to_pylist() for c in ("id", "h", "packed", "cuts"))):
+                data = open_.decompress(packed)
+                for c in cuts:
+                    at, first, last = c["at"], c["start"], c["end"] - length
+                    for k in range((at - last) // block, (at - first) // block + 1):
+                        a, b = max(at - k * block - block + 1, first), min(at - k * block, last)
+                        core = data[at - k * block:at - k * block - block + 1 + length]
+                        gram = xxhash.xxh3_64_intdigest(core, seed=k * block)
+                        rows.append((i, h, a, b + length, at, gram - 2**64 if gram >= 2**63 else gram, digest(data[a:b + length], seed=at - a)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), PLACE_SCHEMA.types)], schema=PLACE_SCHEMA)
+
+    return divide
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,14 +270,12 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], packed, *batch.columns[3:]], names=["id", "h", "packed", *batch.schema.names[3:]])
 
 
-CUTS = "g bigint, p int, open boolean, id bigint, h bigint, start bigint, sure array<bigint>, stretch binary"
-CUT_SCHEMA = pa.schema([
-    ("g", pa.int64()), ("p", pa.int32()), ("open", pa.bool_()), ("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("sure", pa.list_(pa.int64())), ("stretch", pa.binary()),
-])
+CUTS = "g bigint, id bigint, h bigint, start bigint, sure array<bigint>, stretch binary"
+CUT_SCHEMA = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("sure", pa.list_(pa.int64())), ("stretch", pa.binary())])
 
 
 def _cut(length: int):
-    """Stretches of each text; those of one group that overlap are one, as long as the group is not a part of a gram.
+    """Stretches of each text; those of one group that overlap are one.
 
     ``sure``: pairs of numbers, the starts from and before which strings are known to be repeated.
     """
@@ -256,14 +287,14 @@ def _cut(length: int):
             for i, h, packed, cuts in zip(*(batch.column(c).to_pylist() for c in ("id", "h", "packed", "cuts"))):
                 data = open_.decompress(packed)
                 runs: list[dict] = []
-                for c in sorted(cuts, key=lambda c: (c["g"], c["p"], c["start"])):
+                for c in sorted(cuts, key=lambda c: (c["g"], c["start"])):
                     sure = [c["start"], c["end"] - length + 1] if c["n"] > 1 else []
                     last = runs[-1] if runs else None
-                    if last and not c["open"] and (last["g"], last["p"]) == (c["g"], c["p"]) and c["start"] <= last["end"]:
+                    if last and last["g"] == c["g"] and c["start"] <= last["end"]:
                         last["end"] = max(last["end"], c["end"])
                         last["sure"] += sure
                     else:
-                        runs.append({"g": c["g"], "p": c["p"], "open": c["open"], "id": i, "h": h, "start": c["start"], "end": c["end"], "sure": sure})
+                        runs.append({"g": c["g"], "id": i, "h": h, "start": c["start"], "end": c["end"], "sure": sure})
                 rows += [{**r, "stretch": data[r["start"]:r.pop("end")]} for r in runs]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, CUT_SCHEMA)
@@ -272,15 +303,11 @@ def _cut(length: int):
 
 
 def _sort(length: int):
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("name", pa.binary()), ("sure", pa.bool_())])
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def sort(table: pa.Table) -> pa.Table:
-        # A stretch of rows that are equal as a whole comes more than once.
         ids, h, start = (table.column(c).to_numpy() for c in ("id", "h", "start"))
-        _, one = np.unique(np.stack([ids, h, start], 1), axis=0, return_index=True)
-        ids, h, start = ids[one], h[one], start[one]
-        found = table.select(["stretch", "sure", "open"]).take(pa.array(one))
-        stretches, sure = found.column("stretch").to_pylist(), found.column("sure").to_pylist()
+        stretches, sure = table.column("stretch").to_pylist(), table.column("sure").to_pylist()
         sizes = np.array([len(s) for s in stretches])
         offset = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         order, run = repeated_starts(stretches, length)
@@ -290,33 +317,15 @@ def _sort(length: int):
             for a, b in zip(pairs[::2], pairs[1::2]):
                 marked[at + a - first:at + b - first] = True
         known = (np.bincount(run, minlength=runs) > 1) | (np.bincount(run, weights=marked[order], minlength=runs) > 0)
-        if found.column("open")[0].as_py():
-            # Stretches of one gram may overlap in a text, and a place is no repetition of itself.
-            of = np.searchsorted(offset, order, "right") - 1
-            place = order - offset[of] + start[of]
-            _, doc = np.unique(np.stack([ids, h], 1), axis=0, return_inverse=True)
-            name = doc.ravel()[of].astype(np.int64) * (int(place.max(initial=0)) + 1) + place
-            border = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if runs else np.zeros(0, np.int64)
-            if runs:
-                known &= (np.minimum.reduceat(name, border) != np.maximum.reduceat(name, border)) | (np.bincount(run, weights=marked[order], minlength=runs) > 0)
         hit = np.sort(order[known[run] & ~marked[order]])
-        out = []
-        if len(hit):  # neighbouring starts make one span
-            of = np.searchsorted(offset, hit, "right") - 1
-            breaks = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (of[1:] != of[:-1])])
-            first, last = np.flatnonzero(breaks), np.append(np.flatnonzero(breaks)[1:] - 1, len(hit) - 1)
-            base = start[of[first]] - offset[of[first]]
-            out.append((ids[of[first]], h[of[first]], hit[first] + base, hit[last] + base + length, [None] * len(first), np.ones(len(first), bool)))
-        if runs and found.column("open")[0].as_py():
-            # Each run gives one row for the other parts; if it is single so far, the row says where it is.
-            data, lead = b"".join(stretches), order[border]
-            of = np.searchsorted(offset, lead, "right") - 1
-            at = lead - offset[of] + start[of]
-            out.append((ids[of], h[of], at, at + length, [xxhash.xxh3_128_digest(data[i:i + length]) for i in lead.tolist()], known))
-        columns = [np.concatenate([np.asarray(o[k]) for o in out]) if out else [] for k in (0, 1, 2, 3)]
-        names = [x for o in out for x in o[4]]
-        flags = np.concatenate([o[5] for o in out]) if out else []
-        return pa.table([pa.array(c, t) for c, t in zip([*columns, names, flags], schema.types)], schema=schema)
+        # Neighbouring starts make one span.
+        of = np.searchsorted(offset, hit, "right") - 1
+        breaks = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (of[1:] != of[:-1])]) if len(hit) else np.zeros(0, bool)
+        first = np.flatnonzero(breaks)
+        last = np.append(first[1:] - 1, len(hit) - 1)[:len(first)]
+        base = start[of[first]] - offset[of[first]]
+        columns = (ids[of[first]], h[of[first]], hit[first] + base, hit[last] + base + length)
+        return pa.table([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
     return sort
 
@@ -332,37 +341,37 @@ def repeated_spans(
     if not 0 < gram <= length:
         raise ValueError("the gram is a part of the string")
     keyed = _keyed(docs, doc_id, text)
+    # Rows that are equal in id and text count as places above, and are cut once.
+    packed = keyed.mapInArrow(_packed, "id bigint, h bigint, packed binary").dropDuplicates(["id", "h"])
     found = written(_anchor_rows(keyed, length, gram), "anchors")
-    # Counts combine before they are sent, so a passage that very many texts share is no large group.
-    distinct = found.groupBy("gram", "name").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "start", "end")).alias("one"))
-    distinct = written(distinct, "stretches")
-    # A name that occurs twice stands for a repeated stretch.
-    whole = found.join(distinct.where("n > 1").select("name"), "name").select("id", "h", "start", "end")
-    # Grams are sorted together where the first text that has them is the same, because the stretches of near copies
-    # around neighbouring anchors overlap. A text that brings together too many is left out of this.
-    grams = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("one.id", "one.h")).alias("hub")).where("m > 1")
-    grams = written(grams, "grams")
-    hubs = grams.groupBy("hub").agg(F.sum("m").alias("total"))
-    total = hubs.agg(F.sum("total")).first()[0] or 0
-    groups = max(1, -(-total // stretches))
-    parts = F.ceil(F.col("m") / F.lit(part)).cast("int")
-    near = F.pmod(F.when(F.col("total") > part, F.xxhash64("gram")).otherwise(F.xxhash64("hub.id", "hub.h")), F.lit(groups))
-    grams = grams.join(hubs, "hub").select("gram", parts.alias("parts"), F.when(parts > 1, F.col("gram")).otherwise(near).alias("g"))
-    piece = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("name"), F.col("parts"))).otherwise(F.lit(-1)).cast("int")
-    wanted = distinct.join(grams, "gram").select("one.*", "n", "g", piece.alias("p"), (F.col("parts") > 1).alias("open"))
-    per_text = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("g", "p", "open", "start", "end", "n")).alias("cuts"))
-    texts = keyed.mapInArrow(_packed, "id bigint, h bigint, packed binary").join(per_text, ["id", "h"])
-    stretched = texts.mapInArrow(_cut(length), CUTS)
-    sorted_ = stretched.groupBy("g", "p").applyInArrow(_sort(length), "id bigint, h bigint, start bigint, end bigint, name binary, sure boolean")
-    sorted_ = written(sorted_, "sorted")
-    sure = sorted_.where("sure and name is null").select("id", "h", "start", "end")
-    open_ = sorted_.where("name is not null")
-    place = F.struct("id", "h", "start")  # a place may lie in stretches of two anchors
-    again = open_.groupBy("name").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("sure").alias("s"))
-    again = again.where("s or a <> b").select("name")
-    late = open_.where("not sure").join(again, "name").select("id", "h", "start", "end")
-    spans = whole.unionByName(sure).unionByName(late)
-    return spans.groupBy("id", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans: list[DataFrame] = []
+    for block in (*BLOCKS, None):
+        # Counts combine before they are sent, so a passage that very many texts share is no large group.
+        distinct = found.groupBy("gram", "name").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "start", "end", "at")).alias("one"))
+        distinct = written(distinct, "stretches")
+        # A name that occurs twice stands for a repeated stretch.
+        spans.append(found.join(distinct.where("n > 1").select("name"), "name").select("id", "h", "start", "end"))
+        if block is None:  # every stretch is one string
+            break
+        # Grams are sorted together where the first text that has them is the same, because the stretches of near copies
+        # around neighbouring anchors overlap. A text that brings together too many is left out of this.
+        grams = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("one.id", "one.h")).alias("hub")).where("m > 1")
+        grams = written(grams, "grams")
+        few = grams.where(F.col("m") <= part)
+        hubs = few.groupBy("hub").agg(F.sum("m").alias("total"))
+        total = hubs.agg(F.sum("total")).first()[0] or 0
+        groups = max(1, -(-total // stretches))
+        near = F.pmod(F.when(F.col("total") > part, F.xxhash64("gram")).otherwise(F.xxhash64("hub.id", "hub.h")), F.lit(groups))
+        wanted = distinct.join(few.join(hubs, "hub").select("gram", near.alias("g")), "gram").select("one.*", "n", "g")
+        per_text = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("g", "start", "end", "n")).alias("cuts"))
+        stretched = packed.join(per_text, ["id", "h"]).mapInArrow(_cut(length), CUTS)
+        spans.append(written(stretched.groupBy("g").applyInArrow(_sort(length), "id bigint, h bigint, start bigint, end bigint"), "sorted"))
+        many = grams.where(F.col("m") > part).select("gram")
+        if many.isEmpty():
+            break
+        per_text = distinct.join(many, "gram").select("one.*").groupBy("id", "h").agg(F.collect_list(F.struct("start", "end", "at")).alias("cuts"))
+        found = written(packed.join(per_text, ["id", "h"]).mapInArrow(_divided(length, block), PLACES), "divided")
+    return reduce(DataFrame.unionByName, spans).groupBy("id", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -383,7 +392,8 @@ def removed_repeats(
 
     ``kept`` is the text of the bytes that stay, without characters that a removal cuts in two; the hash is that of all
     bytes that stay. Null and empty texts have no bytes. Places in one text count like places in different ones; texts
-    of copies and repeated rows go as a whole if they have ``length`` bytes.
+    of copies and repeated rows go as a whole if they have ``length`` bytes. Other columns of ``docs`` are left out, whatever their names,
+    but for ``others``.
     """
     spans = written(repeated_spans(docs, doc_id, text, length, gram, part=part), "spans")
     carried = F.struct(*(F.col(c) for c in others)) if others else F.lit(None).cast("int")

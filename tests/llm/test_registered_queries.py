@@ -112,4 +112,5 @@ def test_op9(spark, ids):
 
 
 def test_op10(spark, texts):
-    assert sorted(map(tuple, rows(spark, "op10_suffix_dedup")), key=str) == brute_removed([(i, t) for i, t, _ in texts], 400)
+    got = [tuple(r)[:5] for r in rows(spark, "op10_suffix_dedup")]
+    assert sorted(got, key=str) == brute_removed([(i, t) for i, t, _ in texts], 400)
