@@ -17,6 +17,10 @@ from gridyield.llm.suffix_dedup import removed_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CONTEXT = 2048
+#: Bytes of a repeated passage, and of the grams it is found by. Passages of fifty words have 250 bytes and more in these languages (247 to
+#: 396 for those that repeat on the small table); a longer string would miss the shorter ones of them.
+PASSAGE, PASSAGE_GRAM = 240, 96
+KEPT_WORDS = 400_000  # of a worker, which also holds what earlier stages left
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +43,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes of passages that occur elsewhere. Characters that a passage cuts in two go with it."""
-    kept = removed_repeats(docs, others=["lang", "source", "n_chars"])
+    """Documents without the passages of ``PASSAGE`` bytes or more that occur elsewhere. Characters that a passage cuts in two go with it.
+
+    Every row stays, also with a null or empty text; rows that repeat lose what they share; an empty table gives one.
+    """
+    kept = removed_repeats(docs, length=PASSAGE, gram=PASSAGE_GRAM, others=["lang", "source", "n_chars"])
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("bigint")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", n_chars).withColumnRenamed("kept", "text").select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in a sequence of CONTEXT tokens."""
-    return pack_pieces(encode_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), CONTEXT, end_id=0), CONTEXT)
+    """Every piece of every document with its place in a sequence of CONTEXT tokens.
+
+    A null or empty text is one piece, its end id. Rows that repeat are packed each; an empty table gives no pieces.
+    """
+    pieces = encode_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), CONTEXT, end_id=0, kept_words=KEPT_WORDS)
+    return pack_pieces(pieces, CONTEXT)
 
 
 STAGES = [
