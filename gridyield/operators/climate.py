@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from gridyield import constants as K
 from gridyield.functions import units, wind
-from gridyield.functions.calendar import step_of_month, steps_before_month, steps_in_month
+from gridyield.functions.calendar import steps_before_month, steps_in_month
+from gridyield.functions.calendars import STANDARD, Standard
 from gridyield.operators.accumulation import deaccumulate, monthly_difference
 from gridyield.operators.masking import attach_mask
 from gridyield.operators.sizing import broadcast_if_small
@@ -26,7 +27,7 @@ def mean_temperature(df: DataFrame, t2m: str = "t2m", cell: str = "cell") -> Dat
 
 
 def mean_sunshine_hours(
-    df: DataFrame, total: str = "ssrd", cell: str = "cell", t: str = "t", rule: str = "monthly"
+    df: DataFrame, total: str = "ssrd", cell: str = "cell", t: str = "t", rule: str = "monthly", calendar: Standard = STANDARD
 ) -> DataFrame:
     """Mean daily hours with irradiance above the threshold, over days with any value.
 
@@ -35,13 +36,14 @@ def mean_sunshine_hours(
     that of the monthly window.
     """
     if rule == "monthly":
-        steps = monthly_difference(df, total, [cell], t)
+        steps = monthly_difference(df, total, [cell], t, calendar=calendar)
     elif rule == "reset":
-        steps = deaccumulate(df, total, [cell], t).withColumns({"year": F.year(t), "month": F.month(t)})
+        parts = {"year": calendar.year(F.col(t)), "month": calendar.month(F.col(t))}
+        steps = deaccumulate(df, total, [cell], t, calendar=calendar).withColumns(parts)
     else:
         raise ValueError(f"rule must be 'monthly' or 'reset': {rule!r}")
     days = (
-        steps.groupBy(cell, "year", "month", F.dayofmonth(t).alias("day"))
+        steps.groupBy(cell, "year", "month", calendar.day(F.col(t)).alias("day"))
         .agg(F.count_if(units.is_sunny(F.col("increment"))).alias("hours"), F.count(total).alias("_valid"))
         .where(F.col("_valid") > 0)
     )
@@ -59,16 +61,18 @@ def climatology(df: DataFrame, var: str, units_text: str, long_name: str, cell:
     )
 
 
-def month_position(df: DataFrame, keys: Sequence[str], t: str, how: str, steps_per_day: int) -> DataFrame:
+def month_position(
+    df: DataFrame, keys: Sequence[str], t: str, how: str, steps_per_day: int, calendar: Standard = STANDARD
+) -> DataFrame:
     """Zero-based ``position`` of a row within its month.
 
     ``calendar``: from the timestamp alone, for complete regular axes (no window, no shuffle).
     ``axis``: rank on the shared time axis of the month, as positions in a file.
     ``row``: rank among the rows of the key, for keys with their own axes.
     """
-    dated = df.withColumns({"year": F.year(t), "month": F.month(t)})
+    dated = df.withColumns({"year": calendar.year(F.col(t)), "month": calendar.month(F.col(t))})
     if how == "calendar":
-        return dated.withColumn("position", step_of_month(F.col(t), steps_per_day))
+        return dated.withColumn("position", calendar.step_of_month(F.col(t), steps_per_day))
     if how == "row":
         within = W.partitionBy(*keys, "year", "month").orderBy(t)
         return dated.withColumn("position", F.row_number().over(within) - 1)
@@ -88,12 +92,13 @@ def mean_profile(
     mask: DataFrame | None = None,
     how: str = "calendar",
     steps_per_day: int = 24,
+    calendar: Standard = STANDARD,
 ) -> DataFrame:
     """Mean over the years per (key, month, position in month); February is cut to 28 days.
 
     Missing values are skipped, ocean cells become NULL. ``n_years`` counts the values of each mean.
     """
-    placed = month_position(df, keys, t, how, steps_per_day).where(
+    placed = month_position(df, keys, t, how, steps_per_day, calendar).where(
         F.col("position") < steps_in_month(F.col("month"), steps_per_day)
     )
     means = placed.groupBy(*keys, "month", "position").agg(

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: The default timestamp type of Parquet files, INT96, has no statistics: no row group could be skipped by time.
+STATISTICS = ("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+
+
 def build_session(app: str = "gridyield", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)
@@ -16,6 +20,7 @@ def build_session(app: str = "gridyield", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        .config(*STATISTICS)
     )
     if master:
         builder = builder.master(master)
@@ -25,8 +30,9 @@ def build_session(app: str = "gridyield", master: str | None = None, **conf: str
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Timestamps are UTC; calendar features must not depend on the machine's zone."""
+    """Timestamps are UTC, since calendar features must not depend on the machine's zone, and are written with statistics."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(*STATISTICS)
     return spark
 
 

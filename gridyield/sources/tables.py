@@ -6,12 +6,17 @@ partition columns of the source, so whole folders are skipped before a file is o
 
 from __future__ import annotations
 
+import re
+from typing import Sequence
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridyield import schemas
 from gridyield.functions.calendar import parse_months, parse_years
 from gridyield.operators.filters import select_period
+from gridyield.operators.sizing import MAX_BROADCAST_BYTES
 
 
 def scan(
@@ -25,6 +30,66 @@ def scan(
     return select_period(df, years, months) if years else df
 
 
+def scan_chosen(
+    chosen: DataFrame, attributes: Sequence[str] = (), path: str = "path", ddl: str | None = None, columns: Sequence[str] | None = None
+) -> DataFrame | None:
+    """Read exactly the files and folders that a choice from the catalog names; None if it names none.
+
+    ``chosen`` has one row per path and the ``attributes`` that its rows get (variable, region, scenario, the path itself). The paths go to
+    the driver, as those of any scan do; the attributes, and the values in folder names ``column=value``, come back by a join on the
+    file name. The chosen folders may belong to different tables. The same path must not be chosen twice.
+    """
+    spark = chosen.sparkSession
+    rows = chosen.select(F.col(path).alias("_path"), *[F.col(a).alias(f"_a_{a}") for a in attributes]).collect()
+    if not rows:
+        return None
+    paths = [r["_path"] for r in rows]
+    if len(set(paths)) < len(paths):
+        raise ValueError("a path is chosen twice")
+    # One scan for all. Folders of different tables have no common root, so Spark must not derive partition columns from it.
+    reader = spark.read.option("recursiveFileLookup", "true")
+    df = (reader if ddl is None else reader.schema(schemas.struct(ddl))).parquet(*paths)
+    owner_of, files = {_plain(p): r for p, r in zip(paths, rows)}, []
+    for name in df.inputFiles():
+        parts = _plain(name).split("/")
+        above = ("/".join(parts[:k]) for k in range(len(parts), 0, -1))
+        files.append((_LOCAL.sub("file:/", name), owner_of[next(a for a in above if a in owner_of)], _partition_values(parts[:-1])))
+    inner = sorted({c for _, _, values in files for c in values if c not in df.columns or ddl is not None})
+    if columns is not None:
+        df, inner = df.select(*[c for c in columns if c not in inner]), [c for c in inner if c in columns]
+    if not attributes and not inner:
+        return df
+    kinds = dict(chosen.dtypes)
+    whole = {c: all(re.fullmatch(r"-?\d{1,9}", values.get(c) or "0") for _, _, values in files) for c in inner}
+    facts = [
+        (name, *owner[1:], *[None if values.get(c) is None else int(values[c]) if whole[c] else values[c] for c in inner]) for name, owner, values in files
+    ]
+    fields = ["_file string", *[f"`{a}` {kinds[a]}" for a in attributes], *[f"`{c}` {'int' if whole[c] else 'string'}" for c in inner]]
+    tagged = df.drop(*inner).withColumn("_file", F.regexp_replace("_metadata.file_path", _LOCAL.pattern, "file:/"))
+    names = spark.createDataFrame(facts, ", ".join(fields))
+    small = sum(len(str(f)) for f in facts) <= MAX_BROADCAST_BYTES  # the list is here, so its size is known
+    return tagged.join(F.broadcast(names) if small else names, "_file").drop("_file")
+
+
+def _partition_values(folders: list[str]) -> dict[str, str | None]:
+    """Values in the names ``column=value`` of the innermost folders of a file."""
+    values = {}
+    for name in reversed(folders):
+        column, mark, value = name.partition("=")
+        if not mark:
+            break
+        values[column] = None if value == "__HIVE_DEFAULT_PARTITION__" else value
+    return values
+
+
+_LOCAL = re.compile("^file:/+")
+
+
+def _plain(path: str) -> str:
+    """A path without escapes, and without the scheme of local files."""
+    return unquote(_LOCAL.sub("/", path)).rstrip("/")
+
+
 def country_weather(spark, path, model, region, scenario, years=None, months="") -> DataFrame:
     return scan(spark, path, schemas.WEATHER_COUNTRY, years, months, model=model, region=region, scenario=scenario)
 
