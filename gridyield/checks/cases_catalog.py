@@ -175,7 +175,32 @@ def _(d):
     select energy, region, cell, t, cf from cf_daily where year > 1997""")
 def _(d):
     early, late = d.cf_daily.where("year <= 1997"), d.cf_daily.where("year > 1997")
-    return early.unionByName(late)
+    return coverage.concat({"early": early, "late": late}, step="7 days", refuse=("overlap", "gap"))
+
+
+@case("source_intervals", "cf_daily", "source first last #n_rows", """
+    select energy as source, min(t) as first, max(t) as last, count(*) as n_rows from cf_daily group by 1""")
+def _(d):
+    return coverage.source_intervals({e: d.cf_daily.where(F.col("energy") == e) for e in ("solar", "wind")})
+
+
+@case("interval_issues", "cf_daily", "source issue first ends", """
+    with s as (select 'y' || year as source, min(t) as first, max(t) as last from cf_daily where year <> 1998 group by year
+        union all select 'again', min(t), max(t) from cf_daily where year = 1997 and month(t) = 6)
+    select source, case when first <= ends then 'overlap' else 'gap' end as issue, first, ends from (
+      select *, (select max(o.last) from s o where o.first < s.first) as ends from s) x where first <= ends or first > ends + interval 40 days""")
+def _(d):
+    sources = {f"y{y}": d.cf_daily.where(F.col("year") == y) for y in range(1990, 2006) if y != 1998}
+    sources["again"] = d.cf_daily.where((F.col("year") == 1997) & (F.month("t") == 6))
+    return coverage.interval_issues(coverage.source_intervals(sources), "40 days")
+
+
+@case("requested_months", "cf_daily", "#year #month", """
+    select y as year, m as month from range(1990, 2001) a(y), (values (1), (2), (7)) v(m)
+    except select year, month(t) from cf_daily""")
+def _(d):
+    have = d.cf_daily.withColumn("month", F.month("t"))
+    return coverage.missing_months(coverage.year_month_spine(d.spark, "1990-2000", "1,2,7"), have)
 
 
 @case("upsert_keep_last", "", "o_custkey #year o_orderkey ~o_totalprice", """

@@ -80,6 +80,19 @@ def _(d):
                                  ["axis_value", "s_suppkey"], chunk_width=500.0)
 
 
+@case("nearest_axis_snap_quantiles", "", "l_orderkey l_linenumber ~axis_value", """
+    with ax as (select distinct o_totalprice * o_totalprice / 1000000.0e0 as v from orders),
+      p as (select distinct l_extendedprice * l_extendedprice / 250000.0e0 as x from lineitem),
+      near as (select x, (select max(v) from ax where v <= x) as a, (select min(v) from ax where v >= x) as b from p)
+    select l_orderkey, l_linenumber, case when b is null or a is not null and x - a <= b - x then a else b end as axis_value
+    from lineitem join near on x = l_extendedprice * l_extendedprice / 250000.0e0""")
+def _(d):
+    # Squares lie far apart at one end and close together at the other: stretches of equal width would not be equal in rows.
+    axis = d.orders.select((F.col("o_totalprice") * F.col("o_totalprice") / 1e6).alias("v")).distinct().withColumn("axis_value", F.col("v"))
+    points = d.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") * F.col("l_extendedprice") / 250000.0).alias("x"))
+    return snapping.snap_to_axis(points, "x", axis, "v", ["axis_value"])
+
+
 # --- mosaic ------------------------------------------------------------------------------------------------------
 
 for _policy, _value in [("mean", "avg(cf)"), ("first", "arg_min(cf, ord)"), ("last", "arg_max(cf, ord)"), ("max", "max(cf)")]:

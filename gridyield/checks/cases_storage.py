@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridyield.checks.cases_time import SHARED_AXIS_SQL
+from gridyield.checks.cases_time import SHARED_AXIS_SQL, profile_sql
 from gridyield.checks.registry import case
-from gridyield.operators import alignment, interpolation
+from gridyield.operators import alignment, climate, increments, interpolation
 from gridyield.session import shared_path
-from gridyield.sources import bucketed, catalog, footers, tables
+from gridyield.sources import bucketed, catalog, footers, tables, versions
 
 BUCKETS = 8
 
@@ -89,3 +89,30 @@ def _(d):
     interpolation.bracket_table(flux.select("t").distinct(), states.select("t").distinct()).write.parquet(f"{root}/brackets")
     table = d.spark.read.parquet(f"{root}/brackets")  # its size is known, so it is sent and not shuffled
     return flux.join(interpolation.interpolate_shared_axis(table, states, ["tas"]), ["cell", "t"], "left")
+
+
+@case("remask_versioned", "cf_daily daily_mask", "energy region cell #year t ~cf", """
+    select energy, region, c.cell, year, t, case when m.is_land then cf end as cf from cf_daily c left join daily_mask m on m.cell = c.cell""")
+def _(d):
+    root = shared_path(d.spark, "versioned")
+    versions.write_partitions(d.cf_daily.where("year < 1997"), root, ["energy", "year"])
+    versions.write_partitions(d.cf_daily.where("year >= 1996"), root, ["energy", "year"])  # 1996 is replaced, the later years are added
+    versions.remask(d.spark, root, d.daily_mask, grace_seconds=0, together=7)
+    return versions.read_current(d.spark, root)
+
+
+@case("mean_profile_incremental", "cf_daily daily_mask", "energy cell #month #position ~cf #n_years", profile_sql("day(t) - 1"))
+def _(d):
+    # Six years are there, the seventh is added; the mean is formed from what is stored.
+    root, keys = shared_path(d.spark, "profile"), ("energy", "cell")
+    for years in ("year < 1998", "year >= 1998"):
+        parts = climate.profile_parts(d.cf_daily.where(years), keys=keys, steps_per_day=1)
+        versions.write_partitions(parts, root, ["year"], clustering=["cell"])
+    return climate.profile_of_parts(versions.read_current(d.spark, root), keys=keys, mask=d.daily_mask)
+
+
+@case("mean_temperature_incremental", "weather_grid", "cell ~value", "select cell, avg(tas - 273.15e0) as value from weather_grid group by cell")
+def _(d):
+    rows = d.weather_grid.withColumns({"year": F.year("t"), "month": F.month("t")})
+    parts = increments.mean_parts(rows, climate.celsius("tas"), ["cell"], ["year", "month"])
+    return increments.mean_of_parts(increments.merged_parts(parts, ["cell", "year"]), ["cell"])

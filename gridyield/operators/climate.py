@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,17 +13,27 @@ from gridyield.functions import units, wind
 from gridyield.functions.calendar import steps_before_month, steps_in_month
 from gridyield.functions.calendars import STANDARD, Standard
 from gridyield.operators.accumulation import deaccumulate, monthly_difference
+from gridyield.operators.increments import mean_of_parts, mean_parts
 from gridyield.operators.masking import attach_mask
 from gridyield.operators.sizing import broadcast_if_small
 
 
+def hub_wind_speed(u: str = "u10", v: str = "v10") -> Column:
+    """What the wind climatology averages; with ``increments.mean_parts`` it grows year by year."""
+    return wind.hub_speed(wind.speed(F.col(u), F.col(v)))
+
+
+def celsius(t2m: str = "t2m") -> Column:
+    """What the temperature climatology averages."""
+    return F.col(t2m) - F.lit(K.KELVIN_OFFSET)
+
+
 def mean_hub_wind_speed(df: DataFrame, u: str = "u10", v: str = "v10", cell: str = "cell") -> DataFrame:
-    ws = wind.hub_speed(wind.speed(F.col(u), F.col(v)))
-    return df.groupBy(cell).agg(F.avg(ws).alias("value"))
+    return df.groupBy(cell).agg(F.avg(hub_wind_speed(u, v)).alias("value"))
 
 
 def mean_temperature(df: DataFrame, t2m: str = "t2m", cell: str = "cell") -> DataFrame:
-    return df.groupBy(cell).agg(F.avg(F.col(t2m) - F.lit(K.KELVIN_OFFSET)).alias("value"))
+    return df.groupBy(cell).agg(F.avg(celsius(t2m)).alias("value"))
 
 
 def mean_sunshine_hours(
@@ -98,18 +108,38 @@ def mean_profile(
 
     Missing values are skipped, ocean cells become NULL. ``n_years`` counts the values of each mean.
     """
-    placed = month_position(df, keys, t, how, steps_per_day, calendar).where(
-        F.col("position") < steps_in_month(F.col("month"), steps_per_day)
-    )
+    placed = _placed(df, keys, t, how, steps_per_day, calendar)
     means = placed.groupBy(*keys, "month", "position").agg(
         F.avg(value).alias(value), F.count(value).alias("n_years")
     )
+    return _masked(means, value, mask)
+
+
+def _placed(df: DataFrame, keys: Sequence[str], t: str, how: str, steps_per_day: int, calendar: Standard) -> DataFrame:
+    placed = month_position(df, keys, t, how, steps_per_day, calendar)
+    return placed.where(F.col("position") < steps_in_month(F.col("month"), steps_per_day))
+
+
+def _masked(means: DataFrame, value: str, mask: DataFrame | None) -> DataFrame:
     if mask is None:
         return means
     masked = attach_mask(means, mask)
     return masked.withColumn(value, F.when(F.col("is_land"), F.col(value))).drop("is_land")
 
 
+def profile_parts(
+    df: DataFrame, value: str = "cf", keys: Sequence[str] = ("cell",), t: str = "t", how: str = "calendar", steps_per_day: int = 24,
+    calendar: Standard = STANDARD,
+) -> DataFrame:
+    """The mean profile's sums and counts per year, from which ``profile_of_parts`` forms it when a year has been added."""
+    return mean_parts(_placed(df, keys, t, how, steps_per_day, calendar), value, [*keys, "month", "position"])
+
+
+def profile_of_parts(parts: DataFrame, value: str = "cf", keys: Sequence[str] = ("cell",), mask: DataFrame | None = None) -> DataFrame:
+    """``mean_profile`` of all years in ``parts``."""
+    return _masked(mean_of_parts(parts, [*keys, "month", "position"], value, "n_years"), value, mask)
+
+
 def merge_months(profile: DataFrame, steps_per_day: int = 24) -> DataFrame:
     """Continuous position in the 8760-hour year; month lengths are fixed, so no sort is needed."""
     offset = steps_before_month(F.col("month"), steps_per_day)

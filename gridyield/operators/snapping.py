@@ -41,18 +41,37 @@ def snap_to_lattice(df: DataFrame, cyclic: bool = False) -> DataFrame:
     )
 
 
+def stretch_of(value: Column, borders: Sequence[float]) -> Column:
+    """Number of the stretch between sorted borders that a value falls into, as a balanced tree of comparisons."""
+    edges = sorted(set(borders))
+
+    def tree(first: int, last: int) -> Column:
+        if first == last:
+            return F.lit(first)
+        middle = (first + last) // 2
+        return F.when(value < F.lit(edges[middle]), tree(first, middle)).otherwise(tree(middle + 1, last))
+
+    return tree(0, len(edges))
+
+
 def snap_to_axis(
-    df: DataFrame, column: str, axis: DataFrame, axis_value: str, carry: Sequence[str], chunk_width: float
+    df: DataFrame, column: str, axis: DataFrame, axis_value: str, carry: Sequence[str], chunk_width: float | None = None,
+    chunks: int = 256,
 ) -> DataFrame:
     """Nearest value of an irregular axis per row, on a tie the smaller one; adds ``carry`` of that axis row.
 
-    Only the distinct values are looked up, with the neighbour search over chunks of the value range.
+    Only the distinct values are looked up, with the neighbour search over chunks of the value range: ``chunks`` stretches with about as
+    many values each, however unevenly they lie (one pass for the borders, when the plan is built), or stretches of ``chunk_width``.
     """
     wanted = df.select(F.lit(0).alias("_axis"), F.col(column).cast("double").alias("_v")).where(
         F.col("_v").isNotNull()
     ).distinct()
     known = axis.select(F.lit(0).alias("_axis"), F.col(axis_value).cast("double").alias("_v"), *carry)
-    chunk: Column = F.floor(F.col("_v") / F.lit(float(chunk_width)))
+    if chunk_width is None:
+        both = wanted.select("_v").unionByName(known.select("_v"))
+        chunk = stretch_of(F.col("_v"), both.approxQuantile("_v", [k / chunks for k in range(1, chunks)], 1 / (8 * chunks)))
+    else:
+        chunk = F.floor(F.col("_v") / F.lit(float(chunk_width)))
     found = bracket(wanted, known, ["_axis"], "_v", list(carry), chunk)
     to_left, to_right = F.abs(F.col("_v") - F.col("left._v")), F.abs(F.col("right._v") - F.col("_v"))
     take_left = F.col("right").isNull() | (F.col("left").isNotNull() & (to_left <= to_right))

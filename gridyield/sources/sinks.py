@@ -67,10 +67,9 @@ def _write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def _partition_folders(spark: SparkSession, path: str) -> list[dict[str, str | None]]:
-    """Partition values of the folders that hold data files, as they are spelled in the names."""
+def partition_folders(spark: SparkSession, path: str) -> list[list[tuple[str, str]]]:
+    """(column, value) pairs of the folders that hold data files, as they are spelled in the names."""
     fs, root = _filesystem(spark, path), _path(spark, path)
-    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     depth = 0
     while fs.globStatus(_path(spark, path + "/*=*" * (depth + 1))):
         depth += 1
@@ -78,11 +77,15 @@ def _partition_folders(spark: SparkSession, path: str) -> list[dict[str, str | N
     found = set()
     for status in fs.globStatus(_path(spark, path + "/*=*" * depth + "/*.parquet")) or []:
         found.add(status.getPath().getParent().toString()[len(base):].strip("/"))
-    rows = []
-    for name in sorted(found):
-        pairs = [part.split("=", 1) for part in name.split("/") if part]
-        rows.append({k: None if v == "__HIVE_DEFAULT_PARTITION__" else unescape(v) for k, v in pairs})
-    return rows
+    return [[tuple(part.split("=", 1)) for part in name.split("/") if part] for name in sorted(found)]
+
+
+def _partition_folders(spark: SparkSession, path: str) -> list[dict[str, str | None]]:
+    """Partition values of the folders that hold data files."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return [
+        {k: None if v == "__HIVE_DEFAULT_PARTITION__" else unescape(v) for k, v in pairs} for pairs in partition_folders(spark, path)
+    ]
 
 
 def existing_partitions(spark: SparkSession, path: str, on: Sequence[str]) -> DataFrame | None:
