@@ -5,6 +5,7 @@ hold the same string hold the same anchor in it: among the grams of ``gram`` byt
 string's window the one with the smallest hash. So texts are compared only around anchors whose gram
 occurs more than once. The stretch around an anchor reaches as far as any such string that has the anchor in it.
 
+* Grams are counted first, by themselves; only places of grams that occur more than once are named and sent.
 * Stretches that are equal as a whole are repeated as a whole; they are counted by a 128-bit name.
 * The distinct stretches around one gram are sorted as suffixes, in two stages: suffixes smaller than their
   successor directly, the others induced from them bucket by bucket. Neighbours with ``length`` bytes in common
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from gridyield.llm.common import small, text_bytes, written
 from gridyield.llm.shingles import mix, prefix_hashes, span_hash
+from gridyield.operators.sizing import broadcast_if_small
 
 LENGTH = 400
 GRAM = 160
@@ -237,6 +239,18 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     return keyed.mapInArrow(joined, PLACES)
 
 
+def _gram_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+    """gram: a row per anchor."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, 2000):
+            found = [value for _, _, value in _text_anchors([text_bytes(t) for t in batch.column(2).to_pylist()], length, gram)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["gram"])
+
+    return keyed.mapInArrow(find, "gram bigint")
+
+
 def _divided(length: int, block: int):
     """As ``_anchor_rows`` for the stretches ``cuts`` of each text, divided by where the strings hold the anchor.
 
@@ -342,8 +356,9 @@ def repeated_spans(
         raise ValueError("the gram is a part of the string")
     keyed = _keyed(docs, doc_id, text)
     # Rows that are equal in id and text count as places above, and are cut once.
-    packed = keyed.mapInArrow(_packed, "id bigint, h bigint, packed binary").dropDuplicates(["id", "h"])
-    found = written(_anchor_rows(keyed, length, gram), "anchors")
+    packed = keyed.mapInArrow(_packed, "id bigint, h bigint, packed binary")
+    often = written(_gram_rows(keyed, length, gram).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "repeated-grams")
+    found = written(_anchor_rows(keyed, length, gram).join(often, "gram", "left_semi"), "anchors")
     spans: list[DataFrame] = []
     for block in (*BLOCKS, None):
         # Counts combine before they are sent, so a passage that very many texts share is no large group.
@@ -364,13 +379,16 @@ def repeated_spans(
         near = F.pmod(F.when(F.col("total") > part, F.xxhash64("gram")).otherwise(F.xxhash64("hub.id", "hub.h")), F.lit(groups))
         wanted = distinct.join(few.join(hubs, "hub").select("gram", near.alias("g")), "gram").select("one.*", "n", "g")
         per_text = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("g", "start", "end", "n")).alias("cuts"))
-        stretched = packed.join(per_text, ["id", "h"]).mapInArrow(_cut(length), CUTS)
+        stretched = packed.dropDuplicates(["id", "h"]).join(per_text, ["id", "h"]).mapInArrow(_cut(length), CUTS)
         spans.append(written(stretched.groupBy("g").applyInArrow(_sort(length), "id bigint, h bigint, start bigint, end bigint"), "sorted"))
         many = grams.where(F.col("m") > part).select("gram")
         if many.isEmpty():
             break
         per_text = distinct.join(many, "gram").select("one.*").groupBy("id", "h").agg(F.collect_list(F.struct("start", "end", "at")).alias("cuts"))
-        found = written(packed.join(per_text, ["id", "h"]).mapInArrow(_divided(length, block), PLACES), "divided")
+        # Mostly few texts, so the others need not move; the plan knows the size of what is written.
+        per_text = broadcast_if_small(written(per_text, "hot-places"))
+        hot = packed.join(per_text, ["id", "h"]).dropDuplicates(["id", "h"])
+        found = written(hot.mapInArrow(_divided(length, block), PLACES), "divided")
     return reduce(DataFrame.unionByName, spans).groupBy("id", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
