@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CONTEXT = 2048
 #: Bytes of a repeated passage, and of the grams it is found by. Passages of fifty words have 250 bytes and more in these languages (247 to
 #: 396 for those that repeat on the small table); a longer string would miss the shorter ones of them.
-PASSAGE, PASSAGE_GRAM = 240, 96
+PASSAGE, PASSAGE_GRAM = 240, 64
 KEPT_WORDS = 400_000  # of a worker, which also holds what earlier stages left
 
 
