@@ -9,8 +9,10 @@ notice with at most k errors. Phrases must stand exactly, so their one piece is
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
@@ -88,11 +90,12 @@ class Scanner:
                 else:
                     of.append([a, b])
         out = []
+        starts = [0, *accumulate(len(w) + 1 for w in words)] if windows else []
         for i, spans in windows.items():
             for a, b in _joined(spans):
                 for m in self.patterns[i].finditer(text, a, min(b, len(text))):
-                    wrong = sum(m.fuzzy_counts)
-                    out.append(Found(self.notices[i], m.start(), m.end(), text.count(" ", 0, m.start()), wrong))
+                    # A match that begins with a blank belongs to the word before it.
+                    out.append(Found(self.notices[i], m.start(), m.end(), bisect_right(starts, m.start()) - 1, sum(m.fuzzy_counts)))
         return sorted(out, key=lambda f: (f.start, f.notice.words))
 
 

@@ -28,4 +28,4 @@ NOTICES = [
 
 
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_licenses(table(spark, folder, "documents"), BASE + NOTICES, spans=False)
+    return scan_licenses(table(spark, folder, "documents"), BASE + NOTICES)
