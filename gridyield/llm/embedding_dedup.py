@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from gridyield.llm.common import written
 from gridyield.llm.components import connected
-from gridyield.llm.vectors import matrix, sampled
+from gridyield.llm.vectors import is_vector, matrix, sampled
+from gridyield.operators.sizing import broadcast_if_small
 
 SAMPLE = 20_000  # vectors the codebooks are fitted on
 OCCUPANCY = 128  # vectors that a cell should hold
@@ -116,16 +117,16 @@ def fit_grid(vectors: DataFrame, vector: str, cosine: float, recall: float, seed
     return Grid(left, right, float(min(radius, np.quantile(cost, recall))), cosine)
 
 
-def _cells(vectors: DataFrame, grid: Grid, vec_id: str, vector: str, label: str) -> DataFrame:
-    """A row for each vector and visited cell: label, cell, home, id, v. The first cell is the home of the vector."""
+def _cells(classes: DataFrame, grid: Grid) -> DataFrame:
+    """A row for each class of equal vectors and visited cell: label, cell, home, id, m, v. The first cell is the home of the vector."""
     dims, words = grid.left.shape[1] + grid.right.shape[1], len(grid.right)
-    schema = pa.schema([("label", pa.int64()), ("cell", pa.int64()), ("home", pa.int64()), ("id", pa.int64()), ("v", pa.list_(pa.float64()))])
+    schema = pa.schema([("label", pa.string()), ("cell", pa.int64()), ("home", pa.int64()), ("id", pa.int64()), ("m", pa.int64()), ("v", pa.list_(pa.float64()))])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, len(whole), 1000):
                 batch = whole.slice(start, 1000)
-                rows, values = matrix(batch.column(2), dims)
+                rows, values = matrix(batch.column(3), dims)
                 if not len(rows):
                     continue
                 unit = values / np.linalg.norm(values, axis=1, keepdims=True)
@@ -138,19 +139,33 @@ def _cells(vectors: DataFrame, grid: Grid, vec_id: str, vector: str, label: str)
                     some, cell = take[k:k + 20_000], np.concatenate(cells)[k:k + 20_000]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(1).take(pa.array(rows[some])), pa.array(cell), pa.array(home[some]), batch.column(0).take(pa.array(rows[some])),
-                         pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * dims), pa.array(unit[some].ravel()))], schema=schema,
+                         batch.column(2).take(pa.array(rows[some])), pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * dims), pa.array(unit[some].ravel()))], schema=schema,
                     )
 
-    some = vectors.where(F.col(label).isNotNull() & F.col(vec_id).isNotNull())
-    some = some.select(F.col(vec_id).cast("bigint").alias("id"), F.col(label).cast("bigint").alias("label"), F.col(vector).alias("v"))
-    return some.distinct().mapInArrow(visit, "label bigint, cell bigint, home bigint, id bigint, v array<double>")
+    return classes.mapInArrow(visit, "label string, cell bigint, home bigint, id bigint, m bigint, v array<double>")
 
 
-def compare_blocks(grid: Grid, ask: np.ndarray, ask_id: np.ndarray, ask_home: np.ndarray, have: np.ndarray, have_id: np.ndarray, cell: int):
-    """Links of vectors that visit a cell with the vectors that live in it.
+def _classes(vectors: DataFrame, vec_id: str, vector: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """(members, classes): vec_id, id, m; id, label, m, v. Equal vectors of a label are one class, named by its smallest vec_id.
 
-    Returns (ids, counts, spans): for every vector of either side its links found here, each link counted for the
-    side that would not find it elsewhere, and the links (a, b) of a spanning forest.
+    m is the number of its vec_ids. A vec_id that stands on several vectors is a class of its own with each of them, and no member.
+    """
+    some = vectors.where(F.col(label).isNotNull() & F.col(vec_id).isNotNull() & is_vector(vector))
+    some = some.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("v"))
+    some = written(some.distinct(), "distinct-vectors")
+    several = some.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id", F.lit(True).alias("several"))
+    some = some.join(broadcast_if_small(written(several, "ids-of-several-vectors")), "vec_id", "left")
+    own = F.when(F.col("several"), F.col("vec_id")).alias("own")
+    classes = written(some.groupBy("label", "v", own).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m")), "vector-classes")
+    shared = classes.where("own is null and m > 1").select("label", "v", "id", "m")
+    return some.where("several is null").join(shared, ["label", "v"]).select("vec_id", "id", "m"), classes.select("id", "label", "m", "v")
+
+
+def compare_blocks(grid: Grid, ask: np.ndarray, ask_id: np.ndarray, ask_m: np.ndarray, ask_home: np.ndarray, have: np.ndarray, have_id: np.ndarray, have_m: np.ndarray):
+    """Links of classes that visit a cell with the classes that live in it.
+
+    Returns (ids, counts, nodes, roots): for every class of either side the vectors linked with it here, each link counted for the
+    side that would not find it elsewhere; and for the classes in a group of linked ones with a smaller id than theirs the smallest.
     """
     words = len(grid.right)
     _, _, h1, h2 = grid.plane_distances(have)
@@ -159,22 +174,21 @@ def compare_blocks(grid: Grid, ask: np.ndarray, ask_id: np.ndarray, ask_home: np
     for k in range(0, len(have), 512):
         hit[k:k + 512] = have[k:k + 512] @ ask.T >= grid.cosine
     hit &= have_id[:, None] != ask_id[None, :]
-    counts_ask, counts_have = hit.sum(0), (hit & ~back).sum(1)
-    links, root = [], {}
-
-    def find(x: int) -> int:
-        while root.get(x, x) != x:
-            root[x] = root.get(root[x], root[x])
-            x = root[x]
-        return x
-
-    for i in np.flatnonzero(hit.any(1)):
-        for j in np.unique(ask_id[hit[i]]):
-            p, q = find(int(have_id[i])), find(int(j))
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                links.append((int(have_id[i]), int(j)))
-    return np.concatenate([ask_id, have_id]), np.concatenate([counts_ask, counts_have]), links
+    # Sums of whole numbers below 2**53 are exact in doubles.
+    counts_ask, counts_have = have_m.astype(float) @ hit, (hit & ~back) @ ask_m.astype(float)
+    x, y = np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))
+    roots_have, roots_ask, met = have_id[x], ask_id[y], hit[np.ix_(x, y)]
+    while met.size:  # the smallest id travels along the links until nothing changes
+        far = np.iinfo(np.int64).max
+        new = np.minimum(roots_ask, np.where(met, roots_have[:, None], far).min(0))
+        old = np.minimum(roots_have, np.where(met, new[None, :], far).min(1))
+        if (new == roots_ask).all() and (old == roots_have).all():
+            break
+        roots_ask, roots_have = new, old
+    nodes, roots = np.concatenate([have_id[x], ask_id[y]]), np.concatenate([roots_have, roots_ask])
+    some = nodes != roots
+    counts = np.concatenate([counts_ask, counts_have]).astype(np.int64)
+    return np.concatenate([ask_id, have_id]), counts, nodes[some], roots[some]
 
 
 def linked_vectors(
@@ -183,42 +197,44 @@ def linked_vectors(
     """vec_id, n_links, component_id, kept: a row per row of ``vectors``.
 
     Vectors link when their labels are equal and not null and their cosine is at least ``cosine``. Null, zero and
-    non-finite vectors, null labels and vectors of another length than most link with nothing. A null vec_id
+    non-finite vectors and null labels link with nothing, vectors of another length than most only with equal ones. A null vec_id
     has no links and no component. Repeated rows count once and all come back; rows that share a vec_id but not the vector never
     link with each other, and share the sum of their links.
 
-    A cell of more than ``block`` vectors is split; every block of visitors meets every block of residents, so no task holds
+    Equal vectors are compared as one class with the number of its members, so a million copies cost as much as one vector.
+    A cell of more than ``block`` classes is split; every block of visitors meets every block of residents, so no task holds
     a whole hot cell, and what it returns are counts and a forest, never its pairs.
     """
     base = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"))
     grid = fit_grid(vectors, vector, cosine, recall)
     if grid is None:
         return base.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    cells = written(_cells(vectors, grid, vec_id, vector, label), "cells")
+    members, classes = _classes(vectors, vec_id, vector, label)
+    cells = written(_cells(classes, grid), "cells")
     lives = F.col("cell") == F.col("home")
     sizes = cells.groupBy("label", "cell").agg(F.count(F.when(lives, 1)).alias("n"), F.count(F.lit(1)).alias("p")).where("n > 0 and p > 1")
     sized = cells.join(sizes, ["label", "cell"])
     residents, visitors = F.ceil(F.col("n") / block).cast("int"), F.ceil(F.col("p") / block).cast("int")
     own = lambda k: F.pmod(F.xxhash64("id", "v"), k).cast("int")
-    asking = sized.select("label", "cell", "home", "id", "v", F.lit(False).alias("lives"), own(visitors).alias("i"), F.explode(F.sequence(F.lit(0), residents - 1)).alias("j"))
-    living = sized.where(lives).select("label", "cell", "home", "id", "v", F.lit(True).alias("lives"), F.explode(F.sequence(F.lit(0), visitors - 1)).alias("i"), own(residents).alias("j"))
+    asking = sized.select("label", "cell", "home", "id", "m", "v", F.lit(False).alias("lives"), own(visitors).alias("i"), F.explode(F.sequence(F.lit(0), residents - 1)).alias("j"))
+    living = sized.where(lives).select("label", "cell", "home", "id", "m", "v", F.lit(True).alias("lives"), F.explode(F.sequence(F.lit(0), visitors - 1)).alias("i"), own(residents).alias("j"))
 
     def compare(table: pa.Table) -> pa.Table:
         v = np.stack(table.column("v").combine_chunks().to_numpy(zero_copy_only=False)).astype(np.float64)
-        ids, home, lives_ = (table.column(c).to_numpy() for c in ("id", "home", "lives"))
+        ids, home, m, lives_ = (table.column(c).to_numpy() for c in ("id", "home", "m", "lives"))
         if not lives_.any() or lives_.all():
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        at, n, links = compare_blocks(grid, v[~lives_], ids[~lives_], home[~lives_], v[lives_], ids[lives_], int(table.column("cell")[0].as_py()))
+        at, n, nodes, roots = compare_blocks(grid, v[~lives_], ids[~lives_], m[~lives_], home[~lives_], v[lives_], ids[lives_], m[lives_])
         some = n > 0
-        a = np.concatenate([at[some], [x for x, _ in links]]).astype(np.int64)
-        b = np.concatenate([at[some], [y for _, y in links]]).astype(np.int64)
-        count = np.concatenate([n[some], np.zeros(len(links))]).astype(np.int64)
-        return pa.table({"a": a, "b": b, "n": count})
+        a, b = np.concatenate([at[some], nodes]), np.concatenate([at[some], roots])
+        return pa.table({"a": a, "b": b, "n": np.concatenate([n[some], np.zeros(len(nodes), np.int64)])})
 
     met = asking.unionByName(living).groupBy("label", "cell", "i", "j").applyInArrow(compare, "a bigint, b bigint, n bigint")
     met = written(met, "vector-links")
-    counts = met.where("n > 0").groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "vec_id")
-    joined = connected(met.where("n = 0").select("a", "b")).withColumnRenamed("node", "vec_id")
-    out = base.join(counts, "vec_id", "left").join(joined, "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))
+    counts = met.where("n > 0").groupBy("a").agg(F.sum("n").alias("found")).withColumnRenamed("a", "id")
+    joined = connected(met.where("n = 0").select("a", "b")).withColumnRenamed("node", "id")
+    # Members of a class link with each other and share what their class links with.
+    named = base.join(members, "vec_id", "left").select("vec_id", F.coalesce("id", "vec_id").alias("id"), F.coalesce("m", F.lit(1)).alias("m"))
+    out = named.join(counts, "id", "left").join(joined, "id", "left")
+    component, n_links = F.coalesce("component", "id"), F.coalesce("found", F.lit(0)) + F.col("m") - 1
+    return out.select("vec_id", n_links.cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))

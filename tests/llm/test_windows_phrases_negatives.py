@@ -273,3 +273,21 @@ def test_query_equals_its_sql(spark, name):
     names = [c[0] for c in want.description]
     got = entry.queries()[name](spark, SMALL).select(names)
     assert Counter(map(tuple, got.collect())) == Counter(want.fetchall())
+
+
+# Classes of equal vectors
+
+
+def test_very_many_equal_vectors_are_one_class(spark):
+    from pyspark.sql import functions as F
+
+    from gridyield.llm.embedding_dedup import linked_vectors
+
+    same = spark.range(20_000).select(F.col("id").alias("vec_id"), F.array(*[F.lit(float(k)) for k in range(1, 9)]).alias("embedding"), F.lit("text label").alias("label"))
+    near = spark.createDataFrame([(50_000, [1.01, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0], "text label"), (50_001, [-1.0] * 8, "text label"), (50_002, [1.0] * 4, "a"), (50_003, [1.0] * 4, "a"),
+                                  (50_004, [float(k) for k in range(1, 9)], "1.2"), (50_005, [float(k) for k in range(1, 9)], "1.7")], same.schema)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in linked_vectors(same.unionByName(near)).collect()}
+    assert len(got) == 20_006 and {got[k] for k in range(1, 20_000)} == {(20_000, 0, False)} and got[0] == (20_000, 0, True)
+    assert got[50_000] == (20_000, 0, False) and got[50_001] == (0, 50_001, True)
+    assert got[50_002] == (1, 50_002, True) and got[50_003] == (1, 50_002, False)
+    assert got[50_004] == (0, 50_004, True) and got[50_005] == (0, 50_005, True)
