@@ -197,9 +197,6 @@ def nearest_neighbours(
     counts = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     blocks = counts.select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     queries = rows.where(F.col("id") % every == 0)
-    n_queries = queries.count()
-    slots = max(1, -(-n_queries // asked))
-    slot = F.pmod(F.xxhash64("id"), F.lit(slots)).cast("int")
     own_block = F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int")
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -214,12 +211,13 @@ def nearest_neighbours(
         return pa.table([pa.array(np.concatenate(c), t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
     def searched(asking: DataFrame) -> DataFrame:
-        """``asking``: id, v, bound, cell. Every block of a cell meets every slot of its queries."""
-        met = asking.withColumn("slot", slot)
-        pairs = met.select("cell", "slot").distinct()
-        have = rows.join(blocks, "cell").withColumn("block", own_block).join(pairs, "cell")
+        """``asking``: id, v, bound, cell. Every block of a cell meets every slot of its queries, so a row is sent once per ``asked`` of them."""
+        per_cell = asking.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / asked).cast("int").alias("slots"))
+        sizes = written(blocks.join(per_cell, "cell"), "cells-asked")
+        have = rows.join(sizes, "cell").withColumn("block", own_block).withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
         have = have.select("cell", "block", "slot", "id", "v", F.lit(False).alias("asks"), F.lit(0.0).alias("bound"))
-        ask = met.join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        ask = asking.join(sizes, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        ask = ask.withColumn("slot", F.pmod(F.xxhash64("id"), "slots").cast("int"))
         ask = ask.select("cell", "block", "slot", "id", "v", F.lit(True).alias("asks"), "bound")
         found = have.unionByName(ask).groupBy("cell", "block", "slot").applyInArrow(answer, "query_id bigint, vec_id bigint, score double")
         return found
