@@ -80,7 +80,7 @@ def _(d):
                                  ["axis_value", "s_suppkey"], chunk_width=500.0)
 
 
-@case("nearest_axis_snap_quantiles", "", "l_orderkey l_linenumber ~axis_value", """
+@case("nearest_axis_snap_quantiles", "", "#l_orderkey #l_linenumber ~axis_value", """
     with ax as (select distinct o_totalprice * o_totalprice / 1000000.0e0 as v from orders),
       p as (select distinct l_extendedprice * l_extendedprice / 250000.0e0 as x from lineitem),
       near as (select x, (select max(v) from ax where v <= x) as a, (select min(v) from ax where v >= x) as b from p)

@@ -92,7 +92,7 @@ def _(d):
     return ingest.canonical_table(raw, "tas")
 
 
-@case("ingest_dimensions_per_file", "weather_grid", "file height_varies number_varies", """
+@case("ingest_dimensions_per_file", "weather_grid", "#file height_varies number_varies", """
     select cast(cell % 4 as int) as file, count(distinct hour(t)) > 1 as height_varies, false as number_varies from weather_grid group by 1""")
 def _(d):
     rows = d.weather_grid.select((F.col("cell") % 4).cast("int").alias("file"), F.hour("t").alias("height"), F.lit(1).alias("number"))
