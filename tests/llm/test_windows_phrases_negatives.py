@@ -291,3 +291,43 @@ def test_very_many_equal_vectors_are_one_class(spark):
     assert got[50_000] == (20_000, 0, False) and got[50_001] == (0, 50_001, True)
     assert got[50_002] == (1, 50_002, True) and got[50_003] == (1, 50_002, False)
     assert got[50_004] == (0, 50_004, True) and got[50_005] == (0, 50_005, True)
+
+
+# Languages, letter by letter
+
+
+def test_language_profiles_equal_plain_sums(spark):
+    import zlib
+
+    rows = duckdb.sql(f"select doc_id, text, lang from '{SMALL}/documents.parquet'").fetchall()
+    base = {}
+
+    def vector(letter):
+        if letter not in base:
+            base[letter] = np.random.Generator(np.random.Philox(key=[7, ord(letter)])).integers(0, 2, 1024, dtype=np.int8).astype(int) * 2 - 1
+        return base[letter]
+
+    def bundle(text):
+        counts, total = Counter(), np.zeros(1024)
+        padded = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+        counts.update(padded[k - 1:k + 2] for k in range(1, len(padded) - 1) if padded[k] != " ")
+        for (a, b, c), n in counts.items():
+            total += n * np.roll(vector(a), 2) * np.roll(vector(b), 1) * vector(c)
+        return total
+
+    each = {i: bundle(t) for i, t, _ in rows}
+    held_out = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in each}
+    profiles = {}
+    for i, text, lang in rows:
+        if lang is not None and not held_out[i]:
+            profiles[lang] = profiles.get(lang, 0) + each[i]
+    names = sorted(profiles)
+    unit = np.array([profiles[n] / np.linalg.norm(profiles[n]) for n in names])
+    for r in entry.queries()["op7_language_id"](spark, SMALL).collect():
+        assert r.held_out == held_out[r.doc_id]
+        length = np.linalg.norm(each[r.doc_id])
+        if not length:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosines = unit @ each[r.doc_id] / length
+        assert abs(r.score - np.clip(cosines.max(), 0, 1)) < 1e-5 and cosines[names.index(r.lang_pred)] > cosines.max() - 1e-5
