@@ -54,7 +54,8 @@ def scan_chosen(
         parts = _plain(name).split("/")
         above = ("/".join(parts[:k]) for k in range(len(parts), 0, -1))
         files.append((_LOCAL.sub("file:/", name), owner_of[next(a for a in above if a in owner_of)], _partition_values(parts[:-1])))
-    inner = sorted({c for _, _, values in files for c in values if c not in df.columns or ddl is not None})
+    typed = dict(df.dtypes)
+    inner = sorted({c for _, _, values in files for c in values if c not in typed or ddl is not None})
     if columns is not None:
         df, inner = df.select(*[c for c in columns if c not in inner]), [c for c in inner if c in columns]
     if not attributes and not inner:
@@ -68,7 +69,8 @@ def scan_chosen(
     tagged = df.drop(*inner).withColumn("_file", F.regexp_replace("_metadata.file_path", _LOCAL.pattern, "file:/"))
     names = spark.createDataFrame(facts, ", ".join(fields))
     small = sum(len(str(f)) for f in facts) <= MAX_BROADCAST_BYTES  # the list is here, so its size is known
-    return tagged.join(F.broadcast(names) if small else names, "_file").drop("_file")
+    out = tagged.join(F.broadcast(names) if small else names, "_file").drop("_file")
+    return out.withColumns({c: F.col(c).cast(typed[c]) for c in inner if c in typed})
 
 
 def _partition_values(folders: list[str]) -> dict[str, str | None]:

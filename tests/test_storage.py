@@ -58,6 +58,9 @@ def test_only_chosen_files_are_read(spark, folder, plan):
     assert {(r.kind, r.n, r.value) for r in df.select("kind", "n", "value").distinct().collect()} == {("B", 7, 2.0), ("C", 8, 3.0)}
     assert not any("/a%20x/" in f for f in df.inputFiles())
     assert df.where("kind = 'B'").count() == 1000 and {r.cell for r in df.where("kind = 'C'").select("cell").distinct().collect()} == {3}
+    typed = tables.scan_chosen(chosen, ["kind"], ddl="t timestamp, value float, cell bigint")
+    assert dict(typed.dtypes) == {"t": "timestamp", "value": "float", "cell": "bigint", "kind": "string"}
+    assert typed.where("kind = 'B'").select("cell").distinct().count() == 5
     assert tables.scan_chosen(chosen.limit(0)) is None
     with pytest.raises(ValueError):
         tables.scan_chosen(chosen.unionByName(chosen))
