@@ -1,18 +1,23 @@
-"""SentencePiece encoding and decoding as a relational lattice.
+"""SentencePiece encoding and decoding by lattices of distinct words.
 
 A text is marked (blanks become ``MARK``, one is put in front) and split in front of every run of marks, which
-no piece crosses. Each distinct word is encoded once: its substrings of bounded length are exploded and joined to
-the piece table by equality, and the edges that match are grouped by word. A fold over them (``aggregate``) finds
-the path. For unigram models it keeps the best path to every position: Viterbi. Models of merges (BPE) are not
+no piece crosses. The substrings of a word meet the piece table by equality, those that match are the edges of its lattice, and a fold
+over them finds the path. For unigram models it keeps the best path to every position: Viterbi. Models of merges (BPE) are not
 defined by the best sum of scores, and Viterbi gives other pieces than they do; for them the fold joins the two
 neighbouring pieces whose union has the highest score, over and over. A character without a piece becomes its
-bytes; in Viterbi it costs ten more than the worst piece. Words find their documents again in groups of documents.
+bytes; in Viterbi it costs ten more than the worst piece.
+
+``encode_words`` is the lattice as tables (explode, join, group, ``aggregate``) for both folds. With merges, texts are encoded where they are
+read: tasks hold the lattices of the distinct words of a batch as arrays (``piece_lattice``), so neither words nor texts move. With
+Viterbi, each distinct word is encoded once, and words find their documents again in groups of documents.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,20 +25,20 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridyield.llm.common import shuffle_partitions, text_bytes, written
+from gridyield.llm.common import shuffle_partitions, small, text_bytes, written
+from gridyield.llm.piece_lattice import PieceLattice
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
-LONG = 32  # characters of a word whose merges are folded; longer ones go to the library, whose heap does not take cubic time
+KEPT_WORDS = 500_000  # kept words of a worker, about 200 bytes each; the older half makes room for new ones
+BY_MARKS = re.compile(f"{MARK}|  |^ | $")  # texts that need the split by marks; others are split at their blanks
+SPLIT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 NO_ID = -(2**63)
+_encoders: dict[str, "WordEncoder"] = {}
 
 
-def piece_table(spark: SparkSession, model: str) -> tuple[DataFrame, float, int]:
-    """(piece, id, score) of the pieces that stand for text, the score of an unknown character, and the id of byte 0.
-
-    Its size is that of the vocabulary, whatever the number of documents.
-    """
-    import pandas as pd
+def pieces_of(model: str) -> tuple[list[tuple[str, int, float]], int]:
+    """(piece, id, score) of the pieces that stand for text, and the id of byte 0."""
     import sentencepiece
 
     own = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -45,6 +50,17 @@ def piece_table(spark: SparkSession, model: str) -> tuple[DataFrame, float, int]
             rows.append((own.id_to_piece(i), i, own.get_score(i)))
     if byte_zero is None:
         raise ValueError("the model has no byte pieces")
+    return rows, byte_zero
+
+
+def piece_table(spark: SparkSession, model: str) -> tuple[DataFrame, float, int]:
+    """(piece, id, score) of the pieces that stand for text, the score of an unknown character, and the id of byte 0.
+
+    Its size is that of the vocabulary, whatever the number of documents.
+    """
+    import pandas as pd
+
+    rows, byte_zero = pieces_of(model)
     frame = spark.createDataFrame(pd.DataFrame(rows, columns=["piece", "id", "score"]), "piece string, id int, score double")
     return frame, min(r[2] for r in rows) - UNKNOWN_COST, byte_zero
 
@@ -107,16 +123,44 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["g", "id", "packed"])
 
 
-def _by_library(model: str):
-    """Encodes marked words with the library."""
+class WordEncoder:
+    """ids(texts): the piece ids of each text as bytes, with each distinct word folded once as long as it is kept."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
+    def __init__(self, model: str):
+        self.lattice = PieceLattice(*pieces_of(model))
+        self.known: dict[str, bytes] = {}  # words without their first mark
 
-        own = sentencepiece.SentencePieceProcessor(model_file=model)
-        for batch in batches:
-            ids = [own.encode(w[1:]) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+    @staticmethod
+    def words(text: str) -> list[str]:
+        if not text:
+            return []
+        if not BY_MARKS.search(text):
+            return text.split(" ")
+        return [w[1:] for w in SPLIT.split(MARK + text.replace(" ", MARK))]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split, known = [self.words(t) for t in texts], self.known
+        new = list({w for words in split for w in words if w not in known})
+        known.update(zip(new, self.lattice.encode([MARK + w for w in new])))
+        out = [b"".join([known[w] for w in words]) for words in split]
+        if len(known) > KEPT_WORDS:
+            self.known = dict(islice(known.items(), len(known) - KEPT_WORDS // 2, None))
+        return out
+
+
+def _by_merges(model: str):
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text_crc32", pa.int64())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if model not in _encoders:
+            _encoders[model] = WordEncoder(model)
+        for batch in small(batches):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            raw = _encoders[model].ids(texts)
+            borders = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(borders), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+            sums = pa.array([zlib.crc32(text_bytes(t)) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, sums], schema=schema)
 
     return rows
 
@@ -124,12 +168,13 @@ def _by_library(model: str):
 def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", fold: str = "merges", longest: int = 16) -> DataFrame:
     """doc_id, ids, text_crc32: the piece ids of every text, one row per row; no ids for null and empty texts.
 
-    ``fold`` goes with the type of the model: ``merges`` or ``viterbi``. With ``merges``, words of more than LONG characters
-    are encoded by the library. ``longest`` is the length of the longest piece in characters. Documents are dealt into groups by a hash of id
-    and text; each group receives its own distinct words with their ids, so no task holds the whole vocabulary.
+    ``fold`` goes with the type of the model: ``merges`` or ``viterbi``. With ``merges`` nothing is shuffled; a word takes memory of 64
+    bytes a character while it is folded. With ``viterbi``, ``longest`` is the length of the longest piece in characters. Documents are then
+    dealt into groups by a hash of id and text; each group receives its own distinct words with their ids, so no task holds the whole vocabulary.
     """
-    import re
-
+    if fold == "merges":
+        rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+        return rows.mapInArrow(_by_merges(model), "doc_id bigint, ids array<int>, text_crc32 bigint")
     spark = docs.sparkSession
     pieces, unknown, byte_zero = piece_table(spark, model)
     groups = shuffle_partitions(spark)
@@ -137,14 +182,8 @@ def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "tex
     keyed = docs.select(F.pmod(F.xxhash64(key, F.col(text)), F.lit(groups)).cast("int").alias("g"), key.alias("id"), F.col(text).alias("text"))
     used = written(keyed.select("g", F.explode(marked_words(F.col("text"))).alias("word")).distinct(), "words-of-groups")
     words = used.select("word").distinct()
-    if fold == "merges":
-        short = encode_words(words.where(F.length("word") <= LONG), pieces, unknown, byte_zero, longest, fold)
-        known = short.unionByName(words.where(F.length("word") > LONG).mapInArrow(_by_library(model), "word string, ids array<int>"))
-    else:
-        known = encode_words(words, pieces, unknown, byte_zero, longest, fold)
-    known = written(known, "word-pieces")
+    known = written(encode_words(words, pieces, unknown, byte_zero, longest, fold), "word-pieces")
     wanted = used.join(known, "word").select("g", "word", "ids")
-    split = re.compile(f"(?<=[^{MARK}])(?={MARK})")
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text_crc32", pa.int64())])
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -158,7 +197,7 @@ def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "tex
         names, ids, sums = [], [], []
         for name, packed in zip(left.column("id").to_pylist(), left.column("packed").to_pylist()):
             body = open_.decompress(packed)
-            words = split.split(MARK + body.decode("utf-8", "surrogatepass").replace(" ", MARK)) if body else []
+            words = SPLIT.split(MARK + body.decode("utf-8", "surrogatepass").replace(" ", MARK)) if body else []
             names.append(None if name == NO_ID else name)
             ids.append(np.frombuffer(b"".join([ids_of[w] for w in words]), "<i4"))
             sums.append(zlib.crc32(body))

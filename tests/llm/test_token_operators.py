@@ -14,9 +14,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from gridyield.llm import token_files, tokens
+from gridyield.llm import piece_lattice, sentence_pieces, token_files, tokens
 from gridyield.llm.packing import encode_pieces, pack_pieces, plan_bins
-from gridyield.llm.sentence_pieces import decoded, encode, encode_words, piece_table
+from gridyield.llm.piece_lattice import PieceLattice
+from gridyield.llm.sentence_pieces import decoded, encode, encode_words, piece_table, pieces_of
 from gridyield.llm.token_files import TokenFile, id_bits, pack, read_tokens, unpack, write_tokens
 from test_text_operators import frame, prose
 
@@ -154,6 +155,31 @@ def test_pieces_equal_the_library_and_come_back(spark):
     assert encode(frame(spark, []), PIECES).collect() == []
 
 
+def test_merges_need_no_shuffle_and_no_library(spark, plan, monkeypatch):
+    own, draw = sentencepiece.SentencePieceProcessor(model_file=PIECES), random.Random(5)
+    texts = ["a" * 3000, "ab" * 500, "".join(draw.choices("0123456789+/ABCabc", k=2000)), "的一是不了人我在有他" * 80, "line\nbreak\n" * 40, "x  y ", "▁▁ é🙂\x00", *(prose(k, 40) for k in range(20))]
+    docs = frame(spark, list(enumerate(texts)))
+    rows = encode(docs, PIECES)
+    assert "Exchange" not in plan(rows) and {r.doc_id: r.ids for r in rows.collect()} == {i: own.encode(t) for i, t in enumerate(texts)}
+    lattice, words = PieceLattice(*pieces_of(PIECES)), ["▁" + w for t in texts for w in t.split(" ")]
+    whole = lattice.encode(words)
+    for long in (1, 100_000):  # the heap and the common fold give the same
+        monkeypatch.setattr(piece_lattice, "LONG", long)
+        assert lattice.encode(words) == whole
+    table, unknown, zero = piece_table(spark, PIECES)
+    short = sorted({w for w in words if len(w) <= 20})
+    folded = encode_words(spark.createDataFrame([(w,) for w in short], "word string"), table, unknown, zero, 16, "merges").collect()
+    assert {r.word: r.ids for r in folded} == {w: np.frombuffer(b, "<i4").tolist() for w, b in zip(short, lattice.encode(short))}
+
+
+def test_words_that_are_let_go_are_folded_again(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "KEPT_WORDS", 4)
+    own, words = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentence_pieces.WordEncoder(PIECES)
+    for text in (prose(1, 50), prose(2, 50), prose(1, 50), ""):
+        assert np.frombuffer(words.ids([text])[0], "<i4").tolist() == own.encode(text)
+        assert len(words.known) <= 4
+
+
 def test_viterbi_finds_the_best_sum(spark):
     own, pieces, (table, unknown, zero) = unigram(), {}, piece_table(spark, PIECES)
     pieces = {r.id: r.score for r in table.collect()}
