@@ -8,7 +8,7 @@ from gridyield.checks.cases_time import SHARED_AXIS_SQL, profile_sql
 from gridyield.checks.registry import case
 from gridyield.operators import alignment, climate, increments, interpolation
 from gridyield.session import shared_path
-from gridyield.sources import bucketed, catalog, footers, tables, versions
+from gridyield.sources import bucketed, catalog, footers, sinks, tables, versions
 
 BUCKETS = 8
 
@@ -35,10 +35,10 @@ def _(d):
 
 
 def by_block(d) -> str:
-    """One file per technology and pair of years."""
+    """One folder per technology and pair of years; there are few, so a large one is written by several tasks as several files."""
     root = shared_path(d.spark, "blocks")
     rows = d.cf_daily.withColumns({"block": F.floor(F.col("year") / 2), "t": F.col("t").cast("timestamp")})
-    rows.repartition("energy", "block").write.partitionBy("energy", "block").parquet(root)
+    sinks.write_cf(rows, root, partitions=["energy", "block"], clustering=["cell", "t"])
     return root
 
 
@@ -50,7 +50,7 @@ def block_of(path):
       "select distinct energy, cast(floor(year / 2) as int) as block, year from cf_daily")
 def _(d):
     files = catalog.list_files(d.spark, by_block(d), "*.parquet")
-    return footers.years_of_files(files).select(*block_of("path"), "year")
+    return footers.years_of_files(files).select(*block_of("path"), "year").distinct()
 
 
 @case("file_ranges", "cf_daily", "energy #block #n_rows least most", """
@@ -64,8 +64,11 @@ def _(d):
 @case("first_file_with_year_footers", "cf_daily", "energy #block #n_candidates", """
     select energy, cast(floor(year / 2) as int) as block, 1 as n_candidates from cf_daily where year = 1995 group by 1, 2""")
 def _(d):
-    files = catalog.list_files(d.spark, by_block(d), "*.parquet").withColumn("energy", F.regexp_extract("path", "energy=([^/]*)", 1))
-    found = catalog.first_with_year(files, footers.years_of_files(files), 1995, ["energy"])
+    # The folder of a block is what is chosen, as many files as it holds; the footers are those of its files.
+    root = by_block(d)
+    blocks = folders(d.spark, root).withColumn("energy", F.regexp_extract("path", "energy=([^/]*)", 1))
+    years = footers.years_of_files(catalog.list_files(d.spark, root, "*.parquet")).withColumn("path", F.regexp_replace("path", "/[^/]*$", ""))
+    found = catalog.first_with_year(blocks, years, 1995, ["energy"])
     return found.select("energy", block_of("path")[1], "n_candidates")
 
 

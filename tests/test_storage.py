@@ -10,6 +10,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from gridyield.checks import cases_storage
+from gridyield.checks.all_cases import QUERIES
+from gridyield.checks.relations import Data
 from gridyield.functions.calendars import STANDARD, calendar_of, with_calendar
 from gridyield.operators import accumulation, alignment, interpolation
 from gridyield.sources import bucketed, catalog, footers, tables
@@ -131,3 +134,20 @@ def test_increments_across_months_of_360_days(spark):
     assert [(r.year, r.month) for r in tails.orderBy("month").collect()] == [(2001, 1), (2001, 2), (2001, 3)]
     second = rows.where("t >= 30 and t < 60")
     assert {r.increment for r in accumulation.deaccumulate(second, "value", policy="nan", tails=tails, calendar=calendar).collect()} == {1.0}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables are not here")
+def test_large_blocks_are_written_by_several_tasks(spark):
+    data, sizes = Data(spark, "/root/testdata/sf0.001"), ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    for key in sizes:
+        spark.conf.set(key, "500b")
+    try:
+        root = cases_storage.by_block(data)
+        found = {r.energy: r.n_candidates for r in QUERIES["first_file_with_year_footers"](spark, data.folder).collect()}
+        years = [tuple(r) for r in QUERIES["years_of_files"](spark, data.folder).collect()]
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    files = glob.glob(f"{root.removeprefix('file:')}/*/*/*.parquet")
+    assert len(files) > len({os.path.dirname(f) for f in files}) and set(found.values()) == {1} and len(set(years)) == len(years)
+    assert spark.read.parquet(root).count() == data.cf_daily.count()
