@@ -3,7 +3,8 @@
 Byte-level tokenizers split a text before they merge, and a blank in front of a character that is no
 white space always opens a new piece. So a text may be cut in front of such blanks, and its ids are
 the ids of the parts one after the other. The parts repeat; the library encodes each new one, and its
-ids are kept. Tokenizers of another kind, and texts that hold an added token, are encoded whole.
+ids are kept. Runs of plain letters, digits or marks are pieces for certain; the library's model takes them as they are, without its search for pieces.
+Tokenizers of another kind, and texts that hold an added token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ KEPT_WORDS = 1_500_000  # kept parts of a worker, about 200 bytes each; the olde
 TOGETHER = 2_000  # new parts that the library gets at a time
 #: Blanks at which a text is not cut: in front of white space of either library, of marks that some versions count to it, or of the end.
 NO_CUT = re.compile(r" (?=[\s\x1c-\x1f\x85\u180e\u200b-\u200f\u2060\ufeff]|\Z)")
+#: Runs that are a piece each, the first with the blank before it: letters of every version of Unicode, digits, marks but the apostrophe, a line end.
+RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n(?!\n)")
+RUNS = re.compile(f"(?!\n)(?:{RUN.pattern})+")
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
@@ -51,6 +55,11 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.kept_words = KEPT_WORDS
         self.mark = {m: self._whole(m) for m in ".,"}
+        if self.by_part:
+            self.model, pieces = self.whole.model, self.whole.pre_tokenizer
+            self.blank, *shown = ("".join(p for p, _ in pieces.pre_tokenize_str(c)) for c in " " + "".join(map(chr, range(0xC0, 0x250))) + "\n")
+            *shown, line_end = shown
+            self.shown = {10: line_end, **dict(zip(range(0xC0, 0x250), shown))}  # characters as the model knows them; those of ASCII stay
 
     def size(self) -> int:
         return self.whole.get_vocab_size(with_added_tokens=True)
@@ -71,6 +80,22 @@ class Encoder:
             found.update(zip(some, (raw[a:b] for a, b in zip([0, *borders[:-1]], borders))))
         return found
 
+    def _encode_runs(self, parts: list[str]) -> dict[str, bytes]:
+        """The same for parts that match ``RUNS``."""
+        tokenize, blank, shown, runs = self.model.tokenize, self.blank, self.shown, RUN.findall
+        ids: list[int] = []
+        ends = [0]
+        for part in parts:
+            if part.isalpha():
+                ids += [t.id for t in tokenize(blank + (part if part.isascii() else part.translate(shown)))]
+            else:
+                first, *others = runs(part)
+                for run in (blank + first.translate(shown), *(r.translate(shown) for r in others)):
+                    ids += [t.id for t in tokenize(run)]
+            ends.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        return dict(zip(parts, (raw[a:b] for a, b in zip(ends, ends[1:]))))
+
     def _look_up(self, new: set[str]) -> dict[str, bytes]:
         """ids of blank + word for words that are not kept; keeps them, and lets the older half of the kept ones go when there are too many.
 
@@ -81,7 +106,8 @@ class Encoder:
             if word[-1] in self.mark and word[:-1].isalpha():
                 stems[word] = word[:-1]
         wanted = [w for w in (new - stems.keys()) | set(stems.values()) if w not in known]
-        found = self._encode_parts(wanted)
+        found = self._encode_runs(list(filter(RUNS.fullmatch, wanted)))
+        found.update(self._encode_parts([w for w in wanted if w not in found]))
         for word, stem in stems.items():
             found[word] = (known.get(stem) or found[stem]) + self.mark[word[-1]]
         known.update(found)
@@ -106,19 +132,20 @@ class Encoder:
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         parts = [self._parts(text) if text else [""] for text in texts]
+        firsts = [words.pop(0) if words else None for words in parts]
         known = self.known
-        new = {w for words in parts if words for w in words[1:] if w not in known}
+        new = set().union(*filter(None, parts)).difference(known)
         found = self._look_up(new) if new else {}
         out = []
-        for text, words in zip(texts, parts):
+        for text, first, words in zip(texts, firsts, parts):
             if words is None:
                 raw = self._whole(text)
             else:
                 try:
-                    raw = b"".join([known[w] for w in words[1:]])
+                    raw = b"".join(map(known.__getitem__, words))
                 except KeyError:
-                    raw = b"".join([known[w] if w in known else found[w] for w in words[1:]])
-                if words[0]:
-                    raw = self._whole(words[0]) + raw
+                    raw = b"".join([known[w] if w in known else found[w] for w in words])
+                if first:
+                    raw = self._whole(first) + raw
             out.append(np.frombuffer(raw, "<u4"))
         return out

@@ -34,6 +34,20 @@ def test_ids_equal_the_library(text):
     assert own.ids([text])[0].tolist() == own.whole.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.text(st.sampled_from(" \nabzÀéßøŁɏɐ×÷µªʼ'!~.*:@[_{1٣½日\t\x85"), max_size=9), max_size=9).map(" ".join))
+@settings(max_examples=800, deadline=None)
+def test_runs_that_are_pieces_for_certain(text):
+    own = tokens.encoder(BYTES)
+    own.known.clear()
+    assert own.ids([text])[0].tolist() == own.whole.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_runs_need_no_search_for_pieces(monkeypatch):
+    own, text, asked = tokens.Encoder(BYTES), "x Größe, naïve.\nThe end*** 1995: 3,5 " + prose(4, 300), []
+    monkeypatch.setattr(own, "_encode_parts", lambda parts: asked.extend(parts) or {})
+    assert own.ids([text])[0].tolist() == own.whole.encode(text, add_special_tokens=False).ids and asked == []
+
+
 def test_words_that_find_no_room_are_encoded_all_the_same(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_WORDS", 3)
     own = tokens.Encoder(BYTES)
