@@ -17,13 +17,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridyield.llm.common import small
+
 UNKNOWN = "und"
 SLICE = 1 << 19  # characters that are counted at a time
 ROWS = 500  # texts in work at a time
-CELLS = 1 << 21  # largest table of counts, texts times trigrams
+CELLS = 1 << 21  # largest table of counts, texts times trigrams, and of vectors, trigrams times dimensions
 BLANK = 32
 _letters: np.ndarray | None = None
 
@@ -69,7 +72,7 @@ class Space:
             else:
                 used, which = np.unique(codes, return_inverse=True)
             who, row = np.unique(owners[start:start + len(part)][of], return_inverse=True)
-            step = max(1, CELLS // len(who))
+            step = max(1, CELLS // max(len(who), self.dims))  # vectors are a table too, with a column per dimension
             for k in range(0, len(used), step):
                 some = used[k:k + step]
                 inside = (which >= k) & (which < k + step)
@@ -147,21 +150,19 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int = 1
     are an error: a language without a letter has no profile.
     """
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, names, total = Space(dims, seed), {}, np.zeros((0, dims))
-        for batch in batches:
-            for name in batch["lang"].unique():
-                names.setdefault(name, len(names))
+        for batch in small(batches, ROWS):
+            owners = np.array([names.setdefault(name, len(names)) for name in batch.column(1).to_pylist()], np.int64)
             if len(names) > len(total):
                 total = np.vstack([total, np.zeros((len(names) - len(total), dims))])
-            for k in range(0, len(batch), ROWS):
-                some = batch.iloc[k:k + ROWS]
-                total += bundle_texts(space, some["text"].tolist(), some["lang"].map(names).to_numpy(), len(names))
+            total += bundle_texts(space, batch.column(0).to_pylist(), owners, len(names))
         if names:
-            yield pd.DataFrame({"lang": list(names), "v": list(np.rint(total).astype(np.int64))})
+            vectors = pa.array(list(np.rint(total).astype(np.int64)), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(names), pa.string()), vectors], names=["lang", "v"])
 
     some = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    parts = some.select(F.col(text).alias("text"), F.col(lang).alias("lang")).mapInPandas(sums, "lang string, v array<bigint>")
+    parts = some.select(F.col(text).alias("text"), F.col(lang).alias("lang")).mapInArrow(sums, "lang string, v array<bigint>")
     rows = (
         parts.select("lang", F.posexplode("v").alias("i", "x"))
         .groupBy("lang", "i").agg(F.sum("x").alias("x"))

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gridyield.llm import ngram_join, suffix_dedup
-from gridyield.llm.language_id import learn, predicted, reject_unknown
+from gridyield.llm.language_id import CELLS, Space, _trigram_codes, learn, predicted, reject_unknown
 from gridyield.llm.license_scan import Scanner, scan_licenses, words_of
 from gridyield.llm.ngram_join import link_documents, most_different, sketch_keys, verify_sets
 from gridyield.llm.queries_license import BASE, NOTICES
@@ -278,6 +278,22 @@ def test_language_of_odd_texts(spark):
     assert none.languages == () and rows.select(predicted(none).alias("p")).where("p.lang <> 'und'").count() == 0
 
 
+def test_vectors_of_many_letters_are_bounded(monkeypatch):
+    text, sizes, vectors = " ".join(chr(0x4E00 + i) + chr(0x4E01 + i) for i in range(0, 6000, 2)), [], Space.trigrams
+
+    def counted(self, letters, a, b, c):
+        sizes.append(len(a) * self.dims)
+        return vectors(self, letters, a, b, c)
+
+    monkeypatch.setattr(Space, "trigrams", counted)
+    got = Space(1024, 7).bundle([text], np.zeros(1, np.int64), 1)
+    assert max(sizes) <= CELLS < sum(sizes)
+    codes, _, letters = _trigram_codes([text])
+    n, space = len(letters), Space(1024, 7)
+    monkeypatch.setattr(Space, "trigrams", vectors)
+    assert (got[0] == sum(space.trigrams(letters, some // n // n, some // n % n, some % n).sum(0) for some in np.array_split(codes, 8))).all()
+
+
 def test_profiles_do_not_depend_on_partitions(spark):
     rows = spark.createDataFrame([(prose(k, 50), "a" if k % 3 else "b") for k in range(60)], "text string, lang string")
     assert (learn(rows.repartition(1)).vectors == learn(rows.repartition(7)).vectors).all()

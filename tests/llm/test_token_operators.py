@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -227,6 +228,22 @@ def test_stages(spark, folder):
     assert {r.doc_id for r in out} == set(kept[2]) and all(r.offset + r.length <= 2048 for r in out)
 
 
+def test_stages_hold_few_texts_at_a_time(spark, folder):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for asked, used in (("10000", "1000"), ("0", "1000"), ("300", "300")):
+            spark.conf.set(key, asked)
+            docs = spark.range(2500).selectExpr("id AS doc_id", "'a word' AS text", "'en' AS lang", "'s' AS source", "6L AS n_chars").coalesce(1)
+            kept = corpus_pipeline.language(spark, docs, folder)
+            assert kept.count() == 2500 and spark.conf.get(key) == used
+            sizes = kept.mapInArrow(lambda batches: (b.select(["doc_id"]).slice(0, 1).set_column(0, "doc_id", pa.array([len(b)])) for b in batches), "doc_id bigint")
+            assert max(r.doc_id for r in sizes.collect()) <= int(used)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_near_duplicates_are_judged_by_row(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     a, b, c, d, e = (prose(k, 60) for k in range(200, 205))
